@@ -30,6 +30,10 @@ def _alert(rows: DataFrame, rule: str, n: Column, fired: Column, evidence: Colum
     )
 
 
+def _text(pattern: str, value: Column) -> Column:
+    return F.when(value.isNotNull(), F.format_string(pattern, value))
+
+
 def _today(t: Tables, as_of: AsOf, status: str) -> DataFrame:
     today = iso_day(as_of)
     return t.flights_between(today, today).filter(F.col("flight_status") == status)
@@ -56,7 +60,7 @@ def alert_otp(t: Tables, as_of: AsOf) -> DataFrame:
     share = on_time_pct(F.col("arrival_delay_min"))
     return _alert(
         _today(t, as_of, "LANDED"), "OTP_BELOW_TARGET", F.count(F.lit(1)), share < OTP_TARGET,
-        F.format_string("%.2f", F.round(share, 2)),
+        _text("%.2f", F.round(share, 2)),
     )
 
 
@@ -65,7 +69,7 @@ def alert_sentiment(t: Tables, as_of: AsOf) -> DataFrame:
     n = F.count(F.lit(1))
     hour_ago = F.timestamp_add("HOUR", F.lit(-1), as_of_ts(as_of))
     bad = t.feedback.filter((F.col("feedback_timestamp") >= hour_ago) & (F.col("sentiment_score") < SURGE_SCORE))
-    return _alert(bad, "SENTIMENT_SURGE", n, n > SURGE_COUNT, F.format_string("%.4f", F.min("sentiment_score")))
+    return _alert(bad, "SENTIMENT_SURGE", n, n > SURGE_COUNT, _text("%.4f", F.min("sentiment_score")))
 
 
 def alert_fuel(t: Tables, as_of: AsOf) -> DataFrame:

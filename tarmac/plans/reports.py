@@ -24,6 +24,11 @@ SHARED_CAUSES = ("WEATHER", "ATC", "TECHNICAL", "AIRPORT")
 MIN_GROUP = 3
 
 
+def rounded(value: Column, digits: int) -> Column:
+    """Half-up on the decimal value: binary noise (15.2499999999 for 15.25) is shed first."""
+    return F.round(F.round(value, digits + 8), digits)
+
+
 def full_name() -> Column:
     return F.concat("first_name", F.lit(" "), "last_name")
 
@@ -52,9 +57,9 @@ def sentiment_distribution(feedback: DataFrame) -> DataFrame:
         .groupBy("sentiment_label")
         .agg(
             F.count(F.lit(1)).alias("feedback_count"),
-            F.round(F.avg("sentiment_score"), 3).alias("avg_score"),
-            F.round(F.avg("nps_score"), 1).alias("avg_nps"),
-            F.round(F.avg("overall_rating"), 1).alias("avg_rating"),
+            rounded(F.avg("sentiment_score"), 3).alias("avg_score"),
+            rounded(F.avg("nps_score"), 1).alias("avg_nps"),
+            rounded(F.avg("overall_rating"), 1).alias("avg_rating"),
         )
     )
 
@@ -137,12 +142,12 @@ def airport_share(t: Tables, as_of: AsOf, literal: bool = True) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("total_departures"),
             f.count_if(on_time).alias("on_time_flights"),
-            F.round(f.share_if(on_time), 1).alias("otp_percentage"),
-            F.round(f.avg("departure_delay_min"), 1).alias("avg_departure_delay"),
-            F.round(f.avg("arrival_delay_min"), 1).alias("avg_arrival_delay"),
+            rounded(f.share_if(on_time), 1).alias("otp_percentage"),
+            rounded(f.avg("departure_delay_min"), 1).alias("avg_departure_delay"),
+            rounded(f.avg("arrival_delay_min"), 1).alias("avg_arrival_delay"),
             f.count_if(F.col("flight_status") == "CANCELLED").alias("cancellations"),
-            F.round(f.avg("load_factor_pct"), 1).alias("avg_load_factor"),
-            F.round(f.avg("taxi_out_min"), 1).alias("avg_taxi_out"),
+            rounded(f.avg("load_factor_pct"), 1).alias("avg_load_factor"),
+            rounded(f.avg("taxi_out_min"), 1).alias("avg_taxi_out"),
             *[f.count(f"{cause.lower()}_n", "delay").alias(f"{cause.lower()}_delays") for cause in SHARED_CAUSES],
         )
         .filter(F.col("total_departures") >= MIN_GROUP)
@@ -170,12 +175,12 @@ def route_benchmarks(t: Tables, min_group: int = 1) -> DataFrame:
         .groupBy("route_type", "origin_iata", "destination_iata", "month_name", "year")
         .agg(
             F.count(F.lit(1)).alias("total_flights"),
-            F.round(F.avg("load_factor_pct"), 1).alias("avg_load_factor"),
-            F.round(F.avg(delay), 1).alias("avg_delay_min"),
-            F.round(F.percentile(delay, 0.5), 1).alias("median_delay"),
-            F.round(F.percentile(delay, 0.95), 1).alias("p95_delay"),
-            F.round(F.avg("fuel_efficiency_l_per_100km"), 2).alias("avg_fuel_efficiency"),
-            F.round(F.avg("revenue_per_pax"), 2).alias("avg_yield_per_pax"),
+            rounded(F.avg("load_factor_pct"), 1).alias("avg_load_factor"),
+            rounded(F.avg(delay), 1).alias("avg_delay_min"),
+            rounded(F.percentile(delay, 0.5), 1).alias("median_delay"),
+            rounded(F.percentile(delay, 0.95), 1).alias("p95_delay"),
+            rounded(F.avg("fuel_efficiency_l_per_100km"), 2).alias("avg_fuel_efficiency"),
+            rounded(F.avg("revenue_per_pax"), 2).alias("avg_yield_per_pax"),
         )
         .filter(F.col("total_flights") >= min_group)
         .select(
@@ -388,7 +393,7 @@ def historic_delay_cost(log: DataFrame, keys: Sequence[str], ts: str, at: AsOf)
         .groupBy("delay_category")
         .agg(
             F.count(F.lit(1)).alias("delay_count"),
-            F.round(F.avg("delay_minutes"), 1).alias("avg_delay"),
+            rounded(F.avg("delay_minutes"), 1).alias("avg_delay"),
             F.round(F.sum("total_cost_impact"), 2).alias("total_cost"),
         )
     )

@@ -18,11 +18,11 @@ from pyspark.sql.types import StructType
 from tarmac.sources.derived import calendar_dim
 from tarmac.tables import Tables
 
-AS_OF = "2001-08-01"
-NOW = "2001-08-01 12:00:00"
+AS_OF = "2001-07-28"
+NOW = "2001-07-28 12:00:00"
 FIRST_DAY, LAST_DAY = date(1995, 1, 1), date(2001, 12, 31)
 # events end on 2024-01-30; this shift puts them just before AS_OF
-EVENT_SHIFT_DAYS = 8218
+EVENT_SHIFT_DAYS = 8222
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
