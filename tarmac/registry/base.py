@@ -28,7 +28,7 @@ def portable(df: DataFrame) -> DataFrame:
         elif kind.startswith("timestamp"):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         elif kind.startswith("decimal") or kind in ("float", "double"):
-            c = F.round(c.cast("double"), 4)
+            c = F.round(F.round(c.cast("double"), 10), 4)  # binary noise first, then the tie
         out.append(c.alias(field.name))
     return df.select(*out)
 

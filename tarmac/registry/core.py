@@ -123,7 +123,7 @@ def minute_dim(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("events", F.coalesce("n", F.lit(0))).drop("n")
 
 
-def _values(rows: list[tuple], columns: str) -> str:
+def values_sql(rows: list[tuple], columns: str) -> str:
     """The inline rows as a SQL VALUES table keyed from 1."""
 
     def literal(v: object) -> str:
@@ -142,11 +142,11 @@ def _values(rows: list[tuple], columns: str) -> str:
     FROM orders JOIN reasons ON reasons.k = o_orderkey % 33 + 1 JOIN lines ON lines.k = o_orderkey % 20 + 1
     JOIN ports ON ports.iata_code = lines.origin_iata JOIN fleet ON fleet.k = o_orderkey % 16 + 1
     JOIN cabs ON cabin_class_key = o_orderkey % 4 + 1 GROUP BY ALL""",
-    reasons=_values(reference.DELAY_REASONS, reference.DELAY_REASON_COLUMNS),
-    lines=_values(reference.ROUTES, reference.ROUTE_COLUMNS),
-    ports=_values(reference.AIRPORTS, reference.AIRPORT_COLUMNS),
-    fleet=_values(reference.AIRCRAFT, reference.AIRCRAFT_COLUMNS),
-    cabs=_values(reference.CABINS, reference.CABIN_COLUMNS)))
+    reasons=values_sql(reference.DELAY_REASONS, reference.DELAY_REASON_COLUMNS),
+    lines=values_sql(reference.ROUTES, reference.ROUTE_COLUMNS),
+    ports=values_sql(reference.AIRPORTS, reference.AIRPORT_COLUMNS),
+    fleet=values_sql(reference.AIRCRAFT, reference.AIRCRAFT_COLUMNS),
+    cabs=values_sql(reference.CABINS, reference.CABIN_COLUMNS)))
 def inline_reference(spark: SparkSession, sf: str) -> DataFrame:
     """Orders joined to the five inline tables."""
     key = F.col("o_orderkey")

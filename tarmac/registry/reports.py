@@ -32,7 +32,7 @@ def flight_status(spark: SparkSession, sf: str) -> DataFrame:
     return gold.flight_status(bind(spark, sf), NOW)
 
 
-def _risk_sql(literal: bool) -> str:
+def risk_sql(literal: bool) -> str:
     recent = f"max(booking_date) FILTER (WHERE booking_date >= {TODAY} - 90)" if literal else "max(booking_date)"
     feedbacks, bookings = ("greatest(coalesce(o.n, 0), 1)", "greatest(coalesce(b.n, 0), 1)") if literal else ("1", "1")
     return f"""
@@ -65,12 +65,12 @@ RISK_COLUMNS = (
 )
 
 
-@query("passenger_risk", oracle(RISK_COLUMNS, _risk_sql(True)))
+@query("passenger_risk", oracle(RISK_COLUMNS, risk_sql(True)))
 def passenger_risk(spark: SparkSession, sf: str) -> DataFrame:
     return gold.passenger_risk(bind(spark, sf), NOW)
 
 
-@query("passenger_risk_safe", oracle(RISK_COLUMNS, _risk_sql(False)))
+@query("passenger_risk_safe", oracle(RISK_COLUMNS, risk_sql(False)))
 def passenger_risk_safe(spark: SparkSession, sf: str) -> DataFrame:
     """Without fan-out, and with recency over all bookings."""
     return gold.passenger_risk(bind(spark, sf), NOW, literal=False)
@@ -420,7 +420,7 @@ def alert_critical_delay(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("alert_churn_spike", oracle(ALERT_COLUMNS, f"""
     SELECT 'CHURN_SPIKE' AS rule, count(*) > 5 AS fired, count(*) AS n, CAST(sum(lifetime_miles) AS VARCHAR) AS evidence
-    FROM ({_risk_sql(False)}) WHERE churn_risk_level = 'CRITICAL' AND loyalty_tier IN ('DIAMOND', 'PLATINUM')"""))
+    FROM ({risk_sql(False)}) WHERE churn_risk_level = 'CRITICAL' AND loyalty_tier IN ('DIAMOND', 'PLATINUM')"""))
 def alert_churn_spike(spark: SparkSession, sf: str) -> DataFrame:
     """On the safe risk table: the literal one can never hold a CRITICAL row."""
     return alerts.alert_churn_spike(bind(spark, sf), NOW, literal=False)

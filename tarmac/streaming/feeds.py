@@ -120,8 +120,9 @@ def state_of(
     return latest_per_key(touched, keys, ["batch_id"]).drop("batch_id")
 
 
-def parse_bookings(raw: DataFrame) -> DataFrame:
-    rows = raw.select("ingest_timestamp", *payload("raw_data", BOOKING_FIELDS))
+def parse_bookings(raw: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Typed booking messages (``extra``: columns of the raw rows to carry along)."""
+    rows = raw.select("ingest_timestamp", *extra, *payload("raw_data", BOOKING_FIELDS))
     return rows.withColumns({
         "booking_date_key": date_key(F.col("booking_date")),
         "flight_date_key": date_key(F.col("flight_date")),
@@ -144,20 +145,23 @@ def resolve_bookings(rows: DataFrame, t: Tables, cabins: DataFrame) -> DataFrame
                      "booking_date", "flight_date")
 
 
-def bookings_batch(
-    spark: SparkSession, t: Tables, cabins: DataFrame, log: str, order: Sequence[str] = ("ingest_timestamp",)
-) -> BatchFn:
+def merge_bookings(
+    spark: SparkSession, source: DataFrame, log: str, batch_id: int, order: Sequence[str] = ("ingest_timestamp",)
+) -> None:
+    """Upsert resolved bookings: append the inserted and status-changed rows to the log."""
+    keyed = with_keys(source, BOOKING_KEY).withColumn("created_at", F.col("ingest_timestamp"))
+    state = state_of(spark, log, BOOKING_FACT, BOOKING_KEY, keyed.select(*BOOKING_KEY), batch_id)
+    changes = merge_changes(
+        state, keyed, BOOKING_KEY, "booking_status", "updated_at", F.col("s.ingest_timestamp"), order, BOOKING_DEFAULTS
+    )
+    write_batch(changes, log, batch_id)
+
+
+def bookings_batch(spark: SparkSession, t: Tables, cabins: DataFrame, log: str) -> BatchFn:
     """Parse, resolve and upsert a batch of raw bookings."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        source = with_keys(resolve_bookings(parse_bookings(batch), t, cabins), BOOKING_KEY)
-        source = source.withColumn("created_at", F.col("ingest_timestamp"))
-        state = state_of(spark, log, BOOKING_FACT, BOOKING_KEY, source.select(*BOOKING_KEY), batch_id)
-        changes = merge_changes(
-            state, source, BOOKING_KEY, "booking_status", "updated_at", F.col("s.ingest_timestamp"),
-            order, BOOKING_DEFAULTS,
-        )
-        write_batch(changes, log, batch_id)
+        merge_bookings(spark, resolve_bookings(parse_bookings(batch), t, cabins), log, batch_id)
 
     return run
 
@@ -171,8 +175,8 @@ def stream_bookings(
     return start_batches(raw, bookings_batch(spark, t, cabins, log), checkpoint, every)
 
 
-def parse_flight_updates(raw: DataFrame) -> DataFrame:
-    rows = raw.select("ingest_timestamp", *payload("raw_data", FLIGHT_FIELDS))
+def parse_flight_updates(raw: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    rows = raw.select("ingest_timestamp", *extra, *payload("raw_data", FLIGHT_FIELDS))
     keyed = rows.withColumn("flight_date_key", date_key(F.col("flight_date"))).drop("flight_date")
     return keyed.withColumnRenamed("status", "flight_status")
 
@@ -191,21 +195,25 @@ def apply_flight_updates(target: DataFrame, updates: DataFrame, order: Sequence[
     )
 
 
-def flights_batch(
-    spark: SparkSession, log: str, schema: T.StructType, order: Sequence[str] = ("ingest_timestamp",)
-) -> BatchFn:
-    """Update the flights a batch of status messages names; unknown flights are dropped.
+def merge_flights(
+    spark: SparkSession, updates: DataFrame, log: str, schema: T.StructType, batch_id: int,
+    order: Sequence[str] = ("ingest_timestamp",),
+) -> None:
+    """Append new versions of the flights the messages name; unknown flights are dropped.
 
-    The log may hold several flights per message key, so versions are told apart
-    by the flight's own key.
+    Two flights may share a message key, so versions are told apart by the
+    flight's own key.
     """
+    keyed = with_keys(updates, FLIGHT_KEY)
+    named = keyed.select(*FLIGHT_KEY).distinct()
+    touched = read_log(spark, log, schema, batch_id).join(named, FLIGHT_KEY, "left_semi")
+    state = latest_per_key(touched, ["flight_event_key"], ["batch_id"]).drop("batch_id")
+    write_batch(apply_flight_updates(state, keyed, order), log, batch_id)
+
 
+def flights_batch(spark: SparkSession, log: str, schema: T.StructType) -> BatchFn:
     def run(batch: DataFrame, batch_id: int) -> None:
-        updates = with_keys(parse_flight_updates(batch), FLIGHT_KEY)
-        named = updates.select(*FLIGHT_KEY).distinct()
-        touched = read_log(spark, log, schema, batch_id).join(named, FLIGHT_KEY, "left_semi")
-        state = latest_per_key(touched, ["flight_event_key"], ["batch_id"]).drop("batch_id")
-        write_batch(apply_flight_updates(state, updates, order), log, batch_id)
+        merge_flights(spark, parse_flight_updates(batch), log, schema, batch_id)
 
     return run
 
