@@ -20,6 +20,7 @@ from tarmac.functions.dates import date_key
 from tarmac.functions.text import sentiment, summarise
 from tarmac.operators.joins import current_rows, unique_lookup
 from tarmac.operators.upsert import latest_per_key, merge_changes, merge_update_only, with_keys
+from tarmac.schemas import struct
 from tarmac.sources.raw import json_landing, payload
 from tarmac.tables import Tables
 
@@ -43,11 +44,11 @@ FEEDBACK_FIELDS = {
     "passenger_id": "string", "flight_date": "date", "feedback_text": "string", "subject": "string",
     "nps_score": "int", "overall_rating": "int", "channel": "string",
 }
-BOOKING_FACT = T.StructType.fromDDL(
+BOOKING_FACT = struct(
     "booking_reference string, passenger_key bigint, route_key bigint, booking_date_key int, "
     "flight_date_key int, cabin_class_key int, origin_airport_key bigint, dest_airport_key bigint, "
-    "booking_channel string, booking_status string, fare_class string, fare_amount decimal(10,2), "
-    "tax_amount decimal(10,2), total_amount decimal(10,2), ancillary_revenue decimal(8,2), "
+    "booking_channel string, booking_status string, fare_class string, fare_amount money, "
+    "tax_amount money, total_amount money, ancillary_revenue extras, "
     "currency_code string, has_checked_bag boolean, has_seat_selection boolean, "
     "days_before_departure int, created_at timestamp_ntz, updated_at timestamp_ntz"
 )
@@ -150,11 +151,14 @@ def merge_bookings(
 ) -> None:
     """Upsert resolved bookings: append the inserted and status-changed rows to the log."""
     keyed = with_keys(source, BOOKING_KEY).withColumn("created_at", F.col("ingest_timestamp"))
+    # reduced before it is used twice: the state needs the batch's keys, the merge its rows
+    keyed = latest_per_key(keyed, BOOKING_KEY, order).persist()
     state = state_of(spark, log, BOOKING_FACT, BOOKING_KEY, keyed.select(*BOOKING_KEY), batch_id)
     changes = merge_changes(
         state, keyed, BOOKING_KEY, "booking_status", "updated_at", F.col("s.ingest_timestamp"), order, BOOKING_DEFAULTS
     )
     write_batch(changes, log, batch_id)
+    keyed.unpersist()
 
 
 def bookings_batch(spark: SparkSession, t: Tables, cabins: DataFrame, log: str) -> BatchFn:
@@ -260,7 +264,7 @@ def stream_feedback(
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-ALERT_LOG = T.StructType.fromDDL(
+ALERT_LOG = struct(
     "delay_key bigint, alert_type string, severity string, flight_number string, message string, "
     "acknowledged boolean, created_at timestamp_ntz"
 )
@@ -317,14 +321,19 @@ def surge_window(
 
 
 def gold_refresh_batch(
-    recompute: Callable[[DataFrame], DataFrame], date_col: str, gold_path: str, partition: str
+    recompute: Callable[[DataFrame], DataFrame], unit: str, gold_path: str, partition: str
 ) -> BatchFn:
-    """Recompute the days a batch touches and replace only their partitions."""
+    """Recompute the units (days, months) a batch touches and replace only their partitions.
+
+    ``unit`` is the column of the batch that names them, ``partition`` that of the
+    gold table. Choose a unit whose partition is worth a file: a table of one row
+    a day is kept by month.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        days = batch.select(date_col).distinct()
         (
-            recompute(days)
+            recompute(batch.select(unit).distinct())
+            .repartition(partition)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(partition)
@@ -335,11 +344,7 @@ def gold_refresh_batch(
 
 
 def gold_refresh(
-    changes: DataFrame, recompute: Callable[[DataFrame], DataFrame], date_col: str, gold_path: str,
+    changes: DataFrame, recompute: Callable[[DataFrame], DataFrame], unit: str, gold_path: str,
     partition: str, checkpoint: str, every: str | None = None,
 ) -> StreamingQuery:
-    return start_batches(
-        changes, gold_refresh_batch(recompute, date_col, gold_path, partition), checkpoint, every
-    )
-
-
+    return start_batches(changes, gold_refresh_batch(recompute, unit, gold_path, partition), checkpoint, every)
