@@ -86,8 +86,10 @@ def exact_percentiles(
 
     def target(i: int) -> Column:
         p = F.lit(ps[i])
-        low = F.col("__min") if ps[i] <= margin else F.col("__lo")[i]
-        high = F.col("__max") if ps[i] >= 1 - margin else F.col("__hi")[i]
+        # a group of few values is ranked whole: its bracket could be narrower than one rank
+        few = F.col("__n") <= 5 * accuracy
+        low = F.when(few | F.lit(ps[i] <= margin), F.col("__min")).otherwise(F.col("__lo")[i])
+        high = F.when(few | F.lit(ps[i] >= 1 - margin), F.col("__max")).otherwise(F.col("__hi")[i])
         return F.struct(
             F.lit(i).alias("i"), low.alias("low"), high.alias("high"),
             (p * (F.col("__n") - 1)).alias("rank"),

@@ -12,7 +12,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+
+from tarmac.operators.ranges import next_in_ranges, previous_in_ranges, ranged, running_in_ranges, stored
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -168,63 +169,46 @@ def guarded_update(
     return update_where(df, match & guard, assignments)
 
 
-def change_points(
-    versions: DataFrame, key: str, ts: str, tracked: Sequence[str], chunk: Column
-) -> DataFrame:
-    """Versions whose tracked attributes differ from the one before, per key by time.
-
-    Compared chunk by chunk: the last version of each earlier chunk is carried
-    over by a one-row-per-chunk table, so a key repeated endlessly is spread out.
-    """
-    state = F.struct(*tracked)
-    rows = versions.withColumn("__chunk", chunk)
-    last = rows.groupBy(key, "__chunk").agg(F.max(F.struct(F.col(ts), state.alias("state"))).alias("__last"))
-    by_chunk = Window.partitionBy(key).orderBy("__chunk")
-    carried = last.select(key, "__chunk", F.lag("__last.state").over(by_chunk).alias("__carried"))
-    within = Window.partitionBy(key, "__chunk").orderBy(ts)
-    joined = rows.withColumn("__before", F.lag(state).over(within)).join(carried, [key, "__chunk"])
-    previous = F.coalesce(F.col("__before"), F.col("__carried"))
-    kept = joined.filter(previous.isNull() | ~previous.eqNullSafe(state))
-    return kept.drop("__chunk", "__before", "__carried")
-
-
 OPEN_END = "9999-12-31 23:59:59"
 
 
 def scd2_apply(
-    dim: DataFrame, changes: DataFrame, key: str, ts: str, tracked: Sequence[str], surrogate: str,
-    chunk: Column | None = None,
+    dim: DataFrame, changes: DataFrame, key: str, ts: str, tracked: Sequence[str], surrogate: str
 ) -> DataFrame:
     """Close the open version and add new ones where a tracked attribute changed.
 
     ``changes`` holds (key, ts, tracked...). New versions inherit the other
-    attributes of the open one, take surrogate keys above the largest in use (in
-    order of time and key), and unknown keys are ignored. Running it twice with
-    the same changes adds nothing.
+    attributes of the open one and take surrogate keys above the largest in use
+    (in order of key and time); unknown keys are ignored. Running it twice with
+    the same changes adds nothing. Versions are compared on range partitions, so
+    a key that repeats endlessly is spread over tasks.
     """
     history = dim.filter(~F.col("is_current"))
     current = dim.filter(F.col("is_current"))
-    cut = chunk if chunk is not None else F.date_trunc("day", F.col("effective_from"))
-    opened = current.select(key, "effective_from", *tracked, F.lit(0).alias("__new"))
+    opened = current.select(key, "effective_from", *tracked, F.lit(0).cast("bigint").alias("__new"))
     arriving = (
-        changes.select(key, F.col(ts).alias("effective_from"), *tracked, F.lit(1).alias("__new"))
+        changes.select(key, F.col(ts).alias("effective_from"), *tracked, F.lit(1).cast("bigint").alias("__new"))
         .join(current.select(key, F.col("effective_from").alias("__since")), key)
         .filter(F.col("effective_from") > F.col("__since"))
         .drop("__since")
     )
     arriving = latest_per_key(arriving, [key, "effective_from"], tracked)
-    versions = change_points(opened.unionByName(arriving), key, "effective_from", tracked, cut)
-    ends = Window.partitionBy(key).orderBy("effective_from")
-    dated = versions.withColumn("__next", F.lead("effective_from").over(ends)).withColumn(
-        "effective_to", F.coalesce("__next", F.lit(OPEN_END).cast("timestamp_ntz"))
-    ).withColumn("is_current", F.col("__next").isNull())
+    rows = ranged(opened.unionByName(arriving), [key], ["effective_from"])
+
+    state = F.struct(*tracked)
+    compared = previous_in_ranges(rows, [key], "effective_from", state, "__before")
+    points = compared.filter(F.col("__before").isNull() | ~F.col("__before").eqNullSafe(state)).drop("__before")
+    points = stored(points)  # used four times below
+    dated = next_in_ranges(points, [key], "effective_from", F.col("effective_from"), "__next")
+    numbered = running_in_ranges(dated, [], [key, "effective_from"], "__new", "__seq")
+
+    top = dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("bigint").alias("m")).scalar()
     carried = [c for c in dim.columns if c not in {*tracked, "effective_from", "effective_to", "is_current"}]
-    full = dated.join(current.select(*carried), key)
-    top = dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("m")).scalar()
-    # number the new versions: per day first, then within the day
-    from tarmac.operators.windows import row_number_key
-
-    kept = full.filter(F.col("__new") == 0)
-    added = row_number_key(full.filter(F.col("__new") == 1), ["effective_from", key], cut, "__seq")
-    added = added.withColumn(surrogate, (top + F.col("__seq")).cast(dim.schema[surrogate].dataType))
-    return history.unionByName(kept.select(*dim.columns)).unionByName(added.select(*dim.columns))
+    full = numbered.join(current.select(*carried), key)
+    fresh = F.when(F.col("__new") == 1, top + F.col("__seq")).otherwise(F.col(surrogate))
+    versions = full.withColumns({
+        surrogate: fresh.cast(dim.schema[surrogate].dataType),
+        "effective_to": F.coalesce("__next", F.lit(OPEN_END).cast("timestamp_ntz")),
+        "is_current": F.col("__next").isNull(),
+    })
+    return history.unionByName(versions.select(*dim.columns))

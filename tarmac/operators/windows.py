@@ -1,10 +1,4 @@
-"""Ordered running values and keys.
-
-A running value over one long ordering would sort a whole partition key (or the
-whole table) in a single task. The ordering is therefore cut into chunks, each a
-monotone function of the order columns: chunk totals are added up first (one row
-per chunk), then each chunk runs on its own from its opening balance.
-"""
+"""Running values and generated keys, computed range by range (see ``ranges``)."""
 
 from __future__ import annotations
 
@@ -14,39 +8,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from tarmac.operators.ranges import PART, ranged, running_in_ranges
 
-def running_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, chunk: Column, name: str
-) -> DataFrame:
-    """Sum of ``value`` up to and including each row, per ``keys`` in ``order``.
 
-    ``order`` must be total within a key. ``chunk`` must not decrease along it,
-    and the number of chunks per key must be small (days, months, key ranges).
-    """
-    rows = df.withColumn("__chunk", chunk)
-    totals = rows.groupBy(*keys, "__chunk").agg(F.sum(value).alias("__total"))
-    before = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    opening = totals.select(
-        *keys, "__chunk", F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__opening")
-    )
-    within = Window.partitionBy(*keys, "__chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    moved = rows.withColumn("__moved", F.sum(value).over(within))
-    joined = moved.join(opening, [*keys, "__chunk"])
-    running = F.coalesce(F.col("__moved"), F.lit(0)) + F.col("__opening")
-    return joined.withColumn(name, running).drop("__chunk", "__moved", "__opening")
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:
+    """Sum of ``value`` up to and including each row, per ``keys`` in a total ``order``."""
+    rows = ranged(df.withColumn("__value", value), keys, order)
+    return running_in_ranges(rows, keys, order, "__value", name).drop(PART, "__value")
 
 
-def row_number_key(df: DataFrame, order: Sequence[str], chunk: Column, name: str = "row_number") -> DataFrame:
-    """ROW_NUMBER() over the whole table by a total order, numbered chunk by chunk."""
-    return running_sum(df, [], order, F.lit(1).cast("bigint"), chunk, name)
+def row_number_key(df: DataFrame, order: Sequence[str], name: str = "row_number") -> DataFrame:
+    """ROW_NUMBER() over the whole table by a total order, without a one-task sort."""
+    return running_sum(df, [], order, F.lit(1).cast("bigint"), name)
 
 
-def surrogate_key(
-    existing: DataFrame, key: str, new_rows: DataFrame, order: Sequence[str], chunk: Column
-) -> DataFrame:
+def surrogate_key(existing: DataFrame, key: str, new_rows: DataFrame, order: Sequence[str]) -> DataFrame:
     """New rows numbered on from the largest key in use; the same input gives the same keys."""
     top = existing.agg(F.coalesce(F.max(key), F.lit(0)).cast("bigint").alias("__top"))
-    numbered = row_number_key(new_rows, order, chunk, "__seq")
+    numbered = row_number_key(new_rows, order, "__seq")
     # the one-row maximum rides along as a scalar subquery
     return numbered.withColumn(key, F.col("__seq") + top.scalar()).drop("__seq")
 
@@ -56,14 +35,12 @@ def running_total(daily: DataFrame, day: str, value: str, name: str) -> DataFram
     return daily.withColumn(name, F.sum(value).over(Window.orderBy(day)))
 
 
-def running_balance(activity: DataFrame, chunk: Column | None = None) -> DataFrame:
+def running_balance(activity: DataFrame) -> DataFrame:
     """Miles balance of each passenger after each transaction."""
     change = (
         F.coalesce(F.col("miles_earned"), F.lit(0))
         - F.coalesce(F.col("miles_redeemed"), F.lit(0))
         - F.coalesce(F.col("miles_expired"), F.lit(0))
     ).cast("bigint")
-    cut = chunk if chunk is not None else F.floor(F.col("activity_date_key") / 100)
-    return running_sum(
-        activity, ["passenger_key"], ["activity_date_key", "activity_key"], change, cut, "balance_after"
-    )
+    order = ["activity_date_key", "activity_key"]
+    return running_sum(activity, ["passenger_key"], order, change, "balance_after")

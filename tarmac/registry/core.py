@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tarmac.functions import conditions as C
 from tarmac.functions.dates import (
-    after_days, as_of_ts, between_days, boundary_diff, in_last_days, iso_day, trunc_ts,
+    after_days, as_of_ts, between_days, boundary_diff, in_last_days, iso_day,
 )
 from tarmac.functions.text import sentiment
 from tarmac.operators import aggregates as A
@@ -270,8 +270,7 @@ def clustered_layout(spark: SparkSession, sf: str) -> DataFrame:
 def surrogate_key(spark: SparkSession, sf: str) -> DataFrame:
     """Orders numbered on from the largest customer key, by order key."""
     orders = driver(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    chunk = F.floor(F.col("o_orderkey") / 10000)
-    return W.surrogate_key(driver(spark, sf, "customer"), "c_custkey", orders, ["o_orderkey"], chunk)
+    return W.surrogate_key(driver(spark, sf, "customer"), "c_custkey", orders, ["o_orderkey"])
 
 
 # ---------------------------------------------------------------- B. predicates
@@ -689,10 +688,10 @@ def row_count_report(spark: SparkSession, sf: str) -> DataFrame:
     SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS seq, *
     FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, count(*) AS lines FROM lineitem GROUP BY ALL)"""))
 def row_number_key(spark: SparkSession, sf: str) -> DataFrame:
-    """Lineitem keys numbered in order, chunk by chunk of order keys."""
+    """Lineitem keys numbered in order."""
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     lines = driver(spark, sf, "lineitem").groupBy(*keys).agg(F.count(F.lit(1)).alias("lines"))
-    return W.row_number_key(lines, keys, F.floor(F.col("l_orderkey") / 1000), "seq")
+    return W.row_number_key(lines, keys, "seq")
 
 
 @query("running_total", oracle("day:d revenue:r cumulative:r", """
@@ -710,7 +709,7 @@ def running_total(spark: SparkSession, sf: str) -> DataFrame:
     FROM (SELECT passenger_key, activity_date_key, activity_key,
         sum(miles_earned - miles_redeemed - miles_expired) AS change FROM loyalty GROUP BY ALL)"""))
 def running_balance(spark: SparkSession, sf: str) -> DataFrame:
-    """Balance after each transaction, run month by month from the opening balance."""
+    """Balance after each transaction."""
     activity = bind(spark, sf).loyalty.groupBy("passenger_key", "activity_date_key", "activity_key").agg(
         F.sum("miles_earned").alias("miles_earned"), F.sum("miles_redeemed").alias("miles_redeemed"),
         F.sum("miles_expired").alias("miles_expired"),
@@ -882,7 +881,7 @@ def guarded_update(spark: SparkSession, sf: str) -> DataFrame:
 @query("scd2_apply", oracle(
     "passenger_key:i passenger_id:s loyalty_tier:s effective_from:t effective_to:t is_current:b", """
     SELECT CASE WHEN is_new THEN (SELECT max(c_custkey) FROM customer)
-        + row_number() OVER (PARTITION BY is_new ORDER BY effective_from, passenger_id) ELSE c_custkey END AS passenger_key,
+        + row_number() OVER (PARTITION BY is_new ORDER BY passenger_id, effective_from) ELSE c_custkey END AS passenger_key,
       passenger_id, tier AS loyalty_tier, effective_from,
       coalesce(lead(effective_from) OVER w, TIMESTAMP '9999-12-31 23:59:59') AS effective_to,
       lead(effective_from) OVER w IS NULL AS is_current
@@ -907,9 +906,6 @@ def scd2_apply(spark: SparkSession, sf: str) -> DataFrame:
         """CASE o_orderpriority WHEN '1-URGENT' THEN 'DIAMOND' WHEN '2-HIGH' THEN 'PLATINUM'
            WHEN '3-MEDIUM' THEN 'GOLD' ELSE 'SILVER' END AS loyalty_tier""",
     )
-    return U.scd2_apply(
-        dim, changes, "passenger_id", "changed_at", ["loyalty_tier"], "passenger_key",
-        trunc_ts("month", F.col("effective_from")),
-    )
+    return U.scd2_apply(dim, changes, "passenger_id", "changed_at", ["loyalty_tier"], "passenger_key")
 
 
