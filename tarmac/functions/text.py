@@ -46,15 +46,26 @@ def words(text: Column) -> Column:
     return F.split(F.lower(text), WORD_BREAK)
 
 
-def count_words(text: Column, vocabulary: Sequence[str]) -> Column:
-    """How many words of ``text`` are in ``vocabulary`` (a hashed set lookup per word)."""
-    return F.size(F.filter(words(text), lambda w: w.isin(*vocabulary)))
+def _hits(tokens: Column, vocabulary: Sequence[str]) -> Column:
+    """How many of the words are in ``vocabulary`` (a hashed set lookup per word)."""
+    return F.size(F.filter(tokens, lambda w: w.isin(*vocabulary)))
 
 
 def sentiment(text: Column) -> Column:
-    """(positive - negative) / (positive + negative) words; 0 without any, null for null."""
-    pos, neg = count_words(text, POSITIVE_WORDS), count_words(text, NEGATIVE_WORDS)
-    return F.when(text.isNotNull(), F.coalesce((pos - neg) / F.nullif(pos + neg, F.lit(0)), F.lit(0.0)))
+    """(positive - negative) / (positive + negative) words; 0 without any, null for null.
+
+    That is the mean sign of the polar words: one pass picks them out, and the
+    sum and count are folded over just those few.
+    """
+    polar = F.filter(words(text), lambda w: w.isin(*POSITIVE_WORDS, *NEGATIVE_WORDS))
+    return F.aggregate(
+        polar,
+        F.struct(F.lit(0).alias("sum"), F.lit(0).alias("n")),
+        lambda acc, w: F.struct(
+            (acc["sum"] + F.when(w.isin(*POSITIVE_WORDS), 1).otherwise(-1)).alias("sum"), (acc["n"] + 1).alias("n")
+        ),
+        lambda acc: F.coalesce(acc["sum"] / F.nullif(acc["n"], F.lit(0)), F.lit(0.0)),
+    )
 
 
 def sentences(text: Column) -> Column:
@@ -62,26 +73,40 @@ def sentences(text: Column) -> Column:
     return F.split(marked, "\u0001")
 
 
-def best_sentence(text: Column, vocabulary: Sequence[str]) -> Column:
-    """(hits, position, sentence) of the sentence richest in ``vocabulary``; the earlier wins ties."""
-    scored = F.transform(
-        sentences(text),
-        lambda s, i: F.struct(
-            count_words(s, vocabulary).alias("hits"), (-i).alias("order"), F.trim(s).alias("sentence")
-        ),
+def scored_sentences(text: Column, *vocabularies: Sequence[str]) -> Column:
+    """Array of (hits of each vocabulary, -position, sentence); each sentence is split once."""
+
+    def score(sentence: Column, position: Column) -> Column:
+        # the one-element array binds the words, so that they are not split per vocabulary
+        return F.transform(
+            F.array(words(sentence)),
+            lambda w: F.struct(
+                F.array(*[_hits(w, v) for v in vocabularies]).alias("hits"),
+                (-position).alias("order"),
+                F.trim(sentence).alias("sentence"),
+            ),
+        )[0]
+
+    return F.transform(sentences(text), score)
+
+
+def richest(scored: Column, vocabulary: int = 0, at_least: int = 0) -> Column:
+    """The sentence with most hits (the earlier of equals), null if none has ``at_least``."""
+    ranked = F.transform(
+        F.filter(scored, lambda s: s["hits"][vocabulary] >= at_least),
+        lambda s: F.struct(s["hits"][vocabulary].alias("hits"), s["order"].alias("order"), s["sentence"].alias("sentence")),
     )
-    return F.array_max(scored)
+    return F.array_max(ranked)["sentence"]
 
 
 def summarise(text: Column) -> Column:
     """Extractive one-sentence summary: the most opinionated sentence, else the lead."""
-    return best_sentence(text, POSITIVE_WORDS + NEGATIVE_WORDS)["sentence"]
+    return richest(scored_sentences(text, POSITIVE_WORDS + NEGATIVE_WORDS))
 
 
 def extract_answer(text: Column, question: str) -> Column:
     """Best passage for a standing question, null when no sentence bears a cue word."""
-    best = best_sentence(text, QUESTION_CUES[question])
-    return F.when(best["hits"] > 0, best["sentence"])
+    return richest(scored_sentences(text, QUESTION_CUES[question]), at_least=1)
 
 
 def first_duration(text: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.dates import AsOf
-from tarmac.functions.text import QUESTION_CUES, extract_answer, first_duration
+from tarmac.functions.text import QUESTION_CUES, first_duration, richest, scored_sentences
 from tarmac.operators.joins import current_rows
 from tarmac.operators.ordering import top_k
 from tarmac.plans.reports import delay_briefing, ops_context
@@ -64,13 +64,12 @@ def assistant_prompt(t: Tables, as_of: AsOf, question: str) -> DataFrame:
 
 
 def extracted_issues(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """Answers to the three standing questions, with the duration stated in the third."""
-    problem, wish, wait = QUESTION_CUES
-    passage = F.col(text)
-    return rows.select(
-        key,
-        extract_answer(passage, problem).alias("extracted_problem"),
-        extract_answer(passage, wish).alias("desired_resolution"),
-        extract_answer(passage, wait).alias("delay_mentioned"),
-        first_duration(passage).alias("stated_duration"),
-    )
+    """Answers to the three standing questions, with the duration stated in the text.
+
+    The sentences are scored for all questions in one column, which the three
+    answers then read.
+    """
+    scored = rows.withColumn("__scored", scored_sentences(F.col(text), *QUESTION_CUES.values()))
+    names = ("extracted_problem", "desired_resolution", "delay_mentioned")
+    answers = [richest(F.col("__scored"), n, at_least=1).alias(name) for n, name in enumerate(names)]
+    return scored.select(key, *answers, first_duration(F.col(text)).alias("stated_duration"))
