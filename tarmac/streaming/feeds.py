@@ -113,6 +113,13 @@ def current_state(spark: SparkSession, log: str, schema: T.StructType, keys: Seq
     return latest_per_key(read_log(spark, log, schema), keys, ["batch_id"]).drop("batch_id")
 
 
+def compact_log(
+    spark: SparkSession, log: str, schema: T.StructType, keys: Sequence[str], to: str
+) -> None:
+    """Start a new log from the current state; switch the stream to it between two runs."""
+    start_log(spark, to, schema, current_state(spark, log, schema, keys))
+
+
 def state_of(
     spark: SparkSession, log: str, schema: T.StructType, keys: Sequence[str], batch_keys: DataFrame, batch_id: int
 ) -> DataFrame:

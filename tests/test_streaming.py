@@ -54,6 +54,10 @@ def test_bookings(spark, tmp_path):
     feeds.bookings_batch(spark, airline(spark), reference.cabins(spark), log)(replay, 1)
     state = feeds.current_state(spark, log, feeds.BOOKING_FACT, feeds.BOOKING_KEY)
     assert sorted(map(str, state.collect())) == before
+    compact = scratch_path(spark, "compact")
+    feeds.compact_log(spark, log, feeds.BOOKING_FACT, feeds.BOOKING_KEY, compact)
+    kept = feeds.read_log(spark, compact, feeds.BOOKING_FACT).drop("batch_id")
+    assert sorted(map(str, kept.collect())) == before
 
 
 def test_one_batch_gives_the_same_keys(spark, tmp_path):
