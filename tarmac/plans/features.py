@@ -10,7 +10,7 @@ from tarmac.functions.dates import AsOf, as_of_date, as_of_ts, iso_day, key_to_d
 from tarmac.functions.scoring import feature_rows
 from tarmac.operators.fanout import Branch, FanOut
 from tarmac.operators.joins import Dim, current_rows, hour_bucket_join, star_join
-from tarmac.plans.gold import MAJOR_DELAY, booking_experience, columns_of
+from tarmac.plans.gold import MAJOR_DELAY, booking_count, booking_experience, columns_of
 from tarmac.sources.sinks import table_sink
 from tarmac.tables import Tables, dated_between
 
@@ -24,7 +24,7 @@ def churn_training(t: Tables, as_of: AsOf, literal: bool = True) -> DataFrame:
     the surrogate key and the column the label is made of; without it both go.
     """
     bookings = Branch("booking", booking_experience(t), {
-        "ids": F.count_distinct("booking_key"),
+        "ids": booking_count(t),
         "amount": F.sum("total_amount"), "amounts": F.count("total_amount"),
         "lead_sum": F.sum("days_before_departure"), "leads": F.count("days_before_departure"),
         "delay_sum": F.sum("arrival_delay_min"), "delays": F.count("arrival_delay_min"),

@@ -16,7 +16,7 @@ from tarmac.operators.fanout import Branch, FanOut
 from tarmac.operators.joins import Dim, current_rows, hour_bucket_join, star_join
 from tarmac.operators.ordering import top_k
 from tarmac.operators.snapshot import as_of_snapshot
-from tarmac.plans.gold import MAJOR_DELAY, booking_experience, origin_and_destination
+from tarmac.plans.gold import MAJOR_DELAY, booking_count, booking_experience, origin_and_destination
 from tarmac.tables import Tables, dated_between
 
 TOP_TIERS = ("DIAMOND", "PLATINUM", "GOLD")
@@ -291,7 +291,7 @@ def churn_shortlist(t: Tables, k: int = 10, literal: bool = True) -> DataFrame:
     """
     members = current_rows(t.passenger).filter(F.col("loyalty_tier").isin(*TOP_TIERS))
     bookings = Branch("booking", booking_experience(t), {
-        "ids": F.count_distinct("booking_key"),
+        "ids": booking_count(t),
         "major": F.count_if(F.col("arrival_delay_min") > MAJOR_DELAY),
     }, key="passenger_key")
     opinions = Branch("feedback", t.feedback, {

@@ -286,7 +286,18 @@ def gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_BOUND: dict[tuple[int, str], tuple[SparkSession, Tables]] = {}
+
+
 def bind(spark: SparkSession, sf_dir: str) -> Tables:
+    """The bound tables; their (lazy) plans are built once a session and folder."""
+    key = (id(spark), sf_dir)
+    if key not in _BOUND or _BOUND[key][0] is not spark:
+        _BOUND[key] = (spark, _bind(spark, sf_dir))
+    return _BOUND[key][1]
+
+
+def _bind(spark: SparkSession, sf_dir: str) -> Tables:
     makers = {
         "airport": airport, "aircraft": aircraft, "passenger": passenger, "route": route, "weather": weather,
         "flight": flight, "booking": booking, "delay": delay, "feedback": feedback, "loyalty": loyalty, "gate": gate,

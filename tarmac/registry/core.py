@@ -174,11 +174,10 @@ def inline_reference(spark: SparkSession, sf: str) -> DataFrame:
     "route_code:s flight_date:d flight_number:s route_type:s flown_on_day:i", f"""
     SELECT route_code, flight_date, 'SP' || lpad(route_key::VARCHAR, 2, '0') || lpad(f::VARCHAR, 2, '0') AS flight_number,
       route_type, coalesce(n, 0) AS flown_on_day
-    FROM (SELECT r.*, d.full_date AS flight_date, f FROM route r, cal d, range(1, 4) AS t(f)
+    FROM (SELECT r.*, d.full_date AS flight_date, f FROM route r CROSS JOIN cal d CROSS JOIN range(1, 4) AS t(f)
           WHERE full_date BETWEEN {TODAY} - 90 AND {TODAY} AND (NOT is_seasonal OR season = 'SUMMER')
             AND f <= CASE WHEN route_type IN ('DOMESTIC', 'SHORT_HAUL') THEN 3 WHEN route_type = 'MEDIUM_HAUL' THEN 2 ELSE 1 END)
-    LEFT JOIN (SELECT route_key, flight_date, count(*) AS n FROM flight GROUP BY ALL) USING (route_key, flight_date)""",
-    extra="SELECT 1 FROM route JOIN cal ON true"))
+    LEFT JOIN (SELECT route_key, flight_date, count(*) AS n FROM flight GROUP BY ALL) USING (route_key, flight_date)"""))
 def schedule_expand(spark: SparkSession, sf: str) -> DataFrame:
     """90 days of planned departures beside the flights that operated."""
     t = bind(spark, sf)
@@ -454,12 +453,9 @@ def role_playing_join(spark: SparkSession, sf: str) -> DataFrame:
     return named.select("origin_iata_code", "dest_iata_code", "dest_region", "flights")
 
 
-@query("left_join_on_filter", oracle("passenger_key:i loyalty_tier:s bookings:i", """
-    SELECT passenger_key, loyalty_tier, count(b.passenger_key) AS bookings
-    FROM passenger LEFT JOIN booking b USING (passenger_key) GROUP BY ALL""".replace(
-        "JOIN booking b USING (passenger_key)",
-        f"JOIN booking b ON b.passenger_key = passenger.passenger_key AND flight_date >= {TODAY} - 30").replace(
-        "SELECT passenger_key", "SELECT passenger.passenger_key").replace("GROUP BY ALL", "GROUP BY 1, 2")))
+@query("left_join_on_filter", oracle("passenger_key:i loyalty_tier:s bookings:i", f"""
+    SELECT p.passenger_key, loyalty_tier, count(b.passenger_key) AS bookings FROM passenger p
+    LEFT JOIN booking b ON b.passenger_key = p.passenger_key AND flight_date >= {TODAY} - 30 GROUP BY 1, 2"""))
 def left_join_on_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Every passenger with the bookings flown in the last 30 days (none kept as 0)."""
     t = bind(spark, sf)
@@ -623,14 +619,13 @@ def ratio_of_sums(spark: SparkSession, sf: str) -> DataFrame:
     return _flights(spark, sf).groupBy("route_key").agg(share.alias("revenue_per_pax"))
 
 
-@query("percentile_cont", oracle("l_shipmode_group:s l_returnflag:s median:r p95:r", """
-    SELECT 'ALL' AS l_shipmode_group, l_returnflag, quantile_cont(l_extendedprice, 0.5) AS median,
+@query("percentile_cont", oracle("l_returnflag:s median:r p95:r", """
+    SELECT l_returnflag, quantile_cont(l_extendedprice, 0.5) AS median,
       quantile_cont(l_extendedprice, 0.95) AS p95 FROM lineitem GROUP BY ALL"""))
 def percentile_cont(spark: SparkSession, sf: str) -> DataFrame:
     """Exact percentiles of a continuous measure over three huge groups."""
     lines = driver(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice")
-    found = A.exact_percentiles(lines, ["l_returnflag"], "l_extendedprice", {"median": 0.5, "p95": 0.95})
-    return found.withColumn("l_shipmode_group", F.lit("ALL"))
+    return A.exact_percentiles(lines, ["l_returnflag"], "l_extendedprice", {"median": 0.5, "p95": 0.95})
 
 
 @query("string_agg", oracle("flight_status:s parts:s", """

@@ -314,9 +314,8 @@ def ops_overview(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("feedback_preview", oracle("feedback_preview:s sentiment_score:r verdict:s nps_score:i feedback_channel:s", """
-    SELECT left(feedback_text, 80) || '...' AS feedback_preview, 0 AS sentiment_score, 'NEUTRAL' AS verdict, nps_score,
-      feedback_channel FROM feedback ORDER BY feedback_timestamp DESC, feedback_key LIMIT 5""".replace(
-        "0 AS sentiment_score", "0.0 AS sentiment_score")))
+    SELECT left(feedback_text, 80) || '...' AS feedback_preview, 0.0 AS sentiment_score, 'NEUTRAL' AS verdict, nps_score,
+      feedback_channel FROM feedback ORDER BY feedback_timestamp DESC, feedback_key LIMIT 5"""))
 def feedback_preview(spark: SparkSession, sf: str) -> DataFrame:
     """The event texts hold no polar word, so their score is 0 (sentiment has its own query)."""
     return reports.feedback_preview(bind(spark, sf).feedback)

@@ -23,6 +23,8 @@ class Tables:
     ``facts_carry_flight_date``: bookings, delays and feedback repeat their
     flight's own date key, so a report over a date range can prune their
     partitions too, not only the flights'.
+    ``booking_key_unique``: the booking key is known to be unique (see the key
+    checks), so distinct bookings are counted without shuffling every one.
     ``flight_scan``: flights between two dates, for a source whose date filter
     must be put on the raw column to reach the scan.
     """
@@ -31,6 +33,7 @@ class Tables:
         self,
         *,
         facts_carry_flight_date: bool = False,
+        booking_key_unique: bool = False,
         flight_scan: Callable[[str | None, str | None], DataFrame] | None = None,
         **tables: DataFrame | Callable[[], DataFrame],
     ):
@@ -38,6 +41,7 @@ class Tables:
         if unknown:
             raise ValueError(f"unknown tables {sorted(unknown)}")
         self.facts_carry_flight_date = facts_carry_flight_date
+        self.booking_key_unique = booking_key_unique
         self.flight_scan = flight_scan
         self._tables = tables
 

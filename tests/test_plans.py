@@ -43,6 +43,8 @@ def test_passenger_risk_literal_and_safe(spark):
     safe = {r.passenger_key: r for r in gold.passenger_risk(t, NOW, literal=False).collect()}[1]
     assert safe.revenue_last_90d == 100.0 and safe.days_since_last_booking == 257 and safe.churn_risk_level == "CRITICAL"
     assert safe.major_delays_experienced == 1
+    t.booking_key_unique = True
+    assert sorted(map(str, gold.passenger_risk(t, NOW).collect())) == sorted(map(str, literal.values()))
 
 
 @pytest.mark.parametrize("carry", [False, True])
