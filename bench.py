@@ -38,7 +38,7 @@ def timed(fn, spark, sf: str) -> float:
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     memory = {"spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g")}
     spark = build_session("bench", f"local[{cpus}]", int(cpus), **memory)
     spark.sparkContext.setLogLevel("ERROR")

@@ -13,10 +13,10 @@ def table_sink(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Da
 
     ``path`` must not be one of the inputs of ``df``; use a new folder per version.
     """
-    writer = df.write.mode("overwrite").option("compression", "snappy")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        # small partitions share a task and a file, a hot one is split over several
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    df.write.mode("overwrite").option("compression", "snappy").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

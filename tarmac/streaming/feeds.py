@@ -88,8 +88,12 @@ def start_batches(
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def write_batch(rows: DataFrame, log: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
+def write_batch(rows: DataFrame, log: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
+    """Write (or, on a replay, rewrite) the folder of one batch, partitioned inside if asked for."""
+    if partition_by:
+        # evens out files: small partitions share a task, a hot one is split
+        rows = rows.hint("rebalance", *[F.col(c) for c in partition_by])
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{log}/batch_id={batch_id}")
 
 
 def read_log(spark: SparkSession, log: str, schema: T.StructType, before: int | None = None) -> DataFrame:
@@ -102,10 +106,12 @@ def read_log(spark: SparkSession, log: str, schema: T.StructType, before: int |
     return rows if before is None else rows.filter(F.col("batch_id") < before)
 
 
-def start_log(spark: SparkSession, log: str, schema: T.StructType, base: DataFrame | None = None) -> None:
+def start_log(
+    spark: SparkSession, log: str, schema: T.StructType, base: DataFrame | None = None, partition_by: Sequence[str] = ()
+) -> None:
     """Create the log with the rows known before the stream starts."""
     rows = base if base is not None else spark.createDataFrame([], schema)
-    write_batch(rows.select(*[F.col(f.name).cast(f.dataType) for f in schema]), log, BASE_BATCH)
+    write_batch(rows.select(*[F.col(f.name).cast(f.dataType) for f in schema]), log, BASE_BATCH, partition_by)
 
 
 def current_state(spark: SparkSession, log: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
@@ -114,10 +120,10 @@ def current_state(spark: SparkSession, log: str, schema: T.StructType, keys: Seq
 
 
 def compact_log(
-    spark: SparkSession, log: str, schema: T.StructType, keys: Sequence[str], to: str
+    spark: SparkSession, log: str, schema: T.StructType, keys: Sequence[str], to: str, partition_by: Sequence[str] = ()
 ) -> None:
     """Start a new log from the current state; switch the stream to it between two runs."""
-    start_log(spark, to, schema, current_state(spark, log, schema, keys))
+    start_log(spark, to, schema, current_state(spark, log, schema, keys), partition_by)
 
 
 def state_of(
@@ -206,36 +212,56 @@ def apply_flight_updates(target: DataFrame, updates: DataFrame, order: Sequence[
     )
 
 
+# up to so many days a batch's dates are put into the scan as constants
+PRUNED_DAYS = 400
+
+
+def on_days_of(log_rows: DataFrame, batch: DataFrame, day: str) -> DataFrame:
+    """Log rows of the days a batch names: partitions are pruned if the days are few.
+
+    At most PRUNED_DAYS + 1 numbers reach the driver; a batch of more days reads
+    the log unpruned, the join that follows picks its rows either way.
+    """
+    days = [r[0] for r in batch.select(day).distinct().limit(PRUNED_DAYS + 1).collect()]
+    return log_rows.filter(F.col(day).isin(*days)) if 0 < len(days) <= PRUNED_DAYS else log_rows
+
+
 def merge_flights(
     spark: SparkSession, updates: DataFrame, log: str, schema: T.StructType, batch_id: int,
-    order: Sequence[str] = ("ingest_timestamp",),
+    order: Sequence[str] = ("ingest_timestamp",), partition_by: Sequence[str] = (),
 ) -> None:
     """Append new versions of the flights the messages name; unknown flights are dropped.
 
     Two flights may share a message key, so versions are told apart by the
-    flight's own key.
+    flight's own key. With a log partitioned by flight date (``partition_by``) a
+    batch reads only the days it names.
     """
     keyed = with_keys(updates, FLIGHT_KEY)
     named = keyed.select(*FLIGHT_KEY).distinct()
-    touched = read_log(spark, log, schema, batch_id).join(named, FLIGHT_KEY, "left_semi")
+    past = read_log(spark, log, schema, batch_id)
+    if partition_by:
+        past = on_days_of(past, named, "flight_date_key")
+    touched = past.join(named, FLIGHT_KEY, "left_semi")
     state = latest_per_key(touched, ["flight_event_key"], ["batch_id"]).drop("batch_id")
-    write_batch(apply_flight_updates(state, keyed, order), log, batch_id)
+    write_batch(apply_flight_updates(state, keyed, order), log, batch_id, partition_by)
 
 
-def flights_batch(spark: SparkSession, log: str, schema: T.StructType) -> BatchFn:
+def flights_batch(
+    spark: SparkSession, log: str, schema: T.StructType, partition_by: Sequence[str] = ()
+) -> BatchFn:
     def run(batch: DataFrame, batch_id: int) -> None:
-        merge_flights(spark, parse_flight_updates(batch), log, schema, batch_id)
+        merge_flights(spark, parse_flight_updates(batch), log, schema, batch_id, partition_by=partition_by)
 
     return run
 
 
 def stream_flights(
     spark: SparkSession, raw_path: str, log: str, schema: T.StructType, checkpoint: str,
-    every: str | None = None, max_files: int | None = None,
+    every: str | None = None, max_files: int | None = None, partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Flight status messages every 2 minutes or once over what is there."""
     raw = append_stream(spark, raw_path, "OPS", max_files)
-    return start_batches(raw, flights_batch(spark, log, schema), checkpoint, every)
+    return start_batches(raw, flights_batch(spark, log, schema, partition_by), checkpoint, every)
 
 
 def enrich_feedback(raw: DataFrame, passenger: DataFrame, stamp: bool = True) -> DataFrame:
@@ -340,7 +366,7 @@ def gold_refresh_batch(
     def run(batch: DataFrame, batch_id: int) -> None:
         (
             recompute(batch.select(unit).distinct())
-            .repartition(partition)
+            .hint("rebalance", F.col(partition))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(partition)

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from airline import airline
 from pyspark.sql import functions as F
 
@@ -65,15 +66,16 @@ def test_one_batch_gives_the_same_keys(spark, tmp_path):
     assert sorted(rows) == ["A", "B", "D", "E"]
 
 
-def test_flight_updates(spark, tmp_path):
+@pytest.mark.parametrize("partition_by", [(), ("flight_date_key",)])
+def test_flight_updates(spark, tmp_path, partition_by):
     t = airline(spark, [(1, 20260615, "SCHEDULED", 0, 0, 5), (2, 20260615, "SCHEDULED", 0, 0, 5)])
     base = t.flight.withColumn("updated_at", F.lit(None).cast("timestamp_ntz"))
     folder, log, mark = tmp_path / "raw", scratch_path(spark, "log"), scratch_path(spark, "mark")
     folder.mkdir()
-    feeds.start_log(spark, log, base.schema, base)
+    feeds.start_log(spark, log, base.schema, base, partition_by)
     update = {"flight_number": "SP0001", "flight_date": "2026-06-15", "status": "LANDED", "pax_flown": 63, "arrival_delay_min": None}
     (folder / "a.json").write_text(json.dumps(update) + "\n" + json.dumps({**update, "flight_number": "SP0099"}) + "\n")
-    feeds.stream_flights(spark, str(folder), log, base.schema, mark).awaitTermination()
+    feeds.stream_flights(spark, str(folder), log, base.schema, mark, partition_by=partition_by).awaitTermination()
     rows = {r.flight_event_key: r for r in feeds.current_state(spark, log, base.schema, ["flight_event_key"]).collect()}
     assert len(rows) == 2 and rows[2].flight_status == "SCHEDULED" and rows[2].updated_at is None
     assert rows[1].flight_status == "LANDED" and rows[1].arrival_delay_min == 0 and rows[1].load_factor_pct == 20.0
@@ -81,6 +83,14 @@ def test_flight_updates(spark, tmp_path):
     assert then.filter("flight_status = 'LANDED'").count() == 0  # the past is still there
 
 
+def test_batch_days_prune_the_log(spark, monkeypatch):
+    log_rows = spark.range(10).select(F.col("id").cast("int").alias("day"))
+    batch = spark.range(2, 4).select(F.col("id").cast("int").alias("day"))
+    assert sorted(r.day for r in feeds.on_days_of(log_rows, batch, "day").collect()) == [2, 3]
+    monkeypatch.setattr(feeds, "PRUNED_DAYS", 1)
+    assert feeds.on_days_of(log_rows, batch, "day").count() == 10
+
+
 def test_feedback_is_scored_once(spark, tmp_path):
     folder, sink, mark = tmp_path / "raw", scratch_path(spark, "sink"), scratch_path(spark, "mark")
     folder.mkdir()
