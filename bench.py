@@ -1,7 +1,7 @@
 """Headline queries on one machine; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS
-(default 3: the median counts, after one warm-up run). Every row of a result is
+(default 2: the median counts, after one warm-up run). Every row of a result is
 produced and discarded.
 """
 
