@@ -33,7 +33,7 @@ def full_name() -> Column:
     return F.concat("first_name", F.lit(" "), "last_name")
 
 
-def critical_feedback(t: Tables, text_scores: bool = True) -> DataFrame:
+def critical_feedback(t: Tables) -> DataFrame:
     """Feedback below -0.5 with passenger, flight, route and a one-line summary."""
     bad = t.feedback.filter(F.col("sentiment_score") < -0.5)
     members = current_rows(t.passenger).select("passenger_key", "first_name", "last_name", "loyalty_tier")
