@@ -32,7 +32,7 @@ LEAST_WORDS, MOST_REPEATED_PERCENT, WINDOW = 20, 30, 8
 TREES, TREE_ROWS = 200, 256
 SAMPLE_ROWS = 4_000  # expected documents in the forest's sample; the bound of the fit
 CALIBRATION_ROWS = 4_000  # expected labelled rows of each class that set the threshold
-GOOD_WITHIN = 0.999  # a ratio's limit is this quantile of the calibration rows of label 1
+GOOD_WITHIN, MARGIN, LEEWAY = 0.999, 1.1, 0.01  # a ratio's limit: that quantile of label 1's calibration rows, widened
 GOOD_LOST = 0.004  # at most this share of calibration rows of label 1 may be rejected
 
 STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -107,7 +107,7 @@ class Forest:
 
     def excess(self, x: np.ndarray) -> np.ndarray:
         """How far ratios exceed their limits, on a logarithmic scale."""
-        return np.log1p(np.maximum(x - self.limits, 0) / (self.limits + 0.01))
+        return np.log1p(np.maximum(x - self.limits, 0) / (self.limits + LEEWAY))
 
     def anomaly(self, ratios: np.ndarray) -> np.ndarray:
         return self.score(self.excess(ratios))
@@ -160,7 +160,7 @@ def calibrate(scores: np.ndarray, quality: np.ndarray, lost: float = GOOD_LOST)
     good, bad = np.sort(scores[quality == 1]), np.sort(scores[quality == 0])
     if not len(good) or not len(bad):
         return np.inf
-    least = good[len(good) - 1 - int(lost * len(good))]  # at most that many good rows lie above
+    least = good[max(0, len(good) - 1 - int(np.ceil(lost * len(good))))]  # at most that many good rows lie above
     above = bad[bad > least]
     return float((least + above[0]) / 2) if len(above) else np.inf
 
@@ -212,7 +212,7 @@ def fit(sample: np.ndarray, labelled: np.ndarray, quality: np.ndarray) -> Forest
     good = labelled[quality == 1]
     if not len(good):
         return Forest()
-    limits = np.quantile(good, GOOD_WITHIN, axis=0)
+    limits = MARGIN * np.quantile(good, GOOD_WITHIN, axis=0) + LEEWAY
     forest = grow(Forest(limits=limits).excess(sample))
     forest.limits = limits
     forest.threshold = calibrate(forest.anomaly(labelled), quality)
