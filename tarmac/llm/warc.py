@@ -4,7 +4,8 @@ Writing: a page is an HTTP response whose body is framed in chunks. A block abov
 size is cut into a first record and continuation records, which carry the origin's id, their
 number and, in the last, the whole length. Pages whose payload equals that of a smaller page_id
 are revisit records without a payload. Archives are plain text-sink files with CR LF CR LF as
-the line separator, which is how a WARC record ends, so they go to any store that Spark writes.
+the line separator, which is how a WARC record ends, so they go to any store that Spark writes;
+they are gzipped as a whole.
 
 Reading: files are parsed by content length. Continuation records are grouped by origin id,
 ordered by segment number, and their numbers and total length verified; the joined block is
@@ -20,6 +21,7 @@ A record with a missing segment, a wrong length or broken framing raises.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -127,11 +129,13 @@ def write_archives(pages: DataFrame, path: str, segment: int = SEGMENT_BYTES, fi
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
     lines = told.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value"))
-    lines.write.option("lineSep", END.decode()).option("maxRecordsPerFile", file_records).text(path)
+    lines.write.option("compression", "gzip").option("lineSep", END.decode()).option("maxRecordsPerFile", file_records).text(path)
 
 
 def parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields in lower case, block) of every record of a file."""
+    """(fields in lower case, block) of every record of a file, gzipped or not."""
+    if content[:2] == b"\x1f\x8b":
+        content = gzip.decompress(content)
     at = 0
     while at < len(content):
         stop = content.index(END, at)
@@ -191,11 +195,8 @@ def reassemble(segments: DataFrame) -> DataFrame:
     Repeated rows of a page repeat its segments: equal ones are counted first, so that a
     group holds a page's segments once however often the page occurs.
     """
-    once = segments.groupBy("origin", "segment").agg(
-        F.count("*").alias("copies"), F.max("page_id").alias("page_id"), F.max("total").alias("total"), F.max("block").alias("block"), F.min("block").alias("other")
-    )
-    checked = F.when(F.col("block") == F.col("other"), F.col("block"))
-    part = F.struct("segment", "copies", "total", checked.alias("block"))
+    once = segments.groupBy("origin", "segment", "total", "page_id", "block").agg(F.count("*").alias("copies"))
+    part = F.struct("segment", "copies", "total", "block")
     joined = once.groupBy("origin").agg(F.max("page_id").alias("page_id"), F.max("copies").alias("copies"), F.collect_list(part).alias("parts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +205,7 @@ def reassemble(segments: DataFrame) -> DataFrame:
             for at in range(batch.num_rows):
                 origin, page, copies, parts = (batch.column(i)[at].as_py() for i in range(4))
                 parts.sort(key=lambda p: p["segment"])
-                if [p["segment"] for p in parts] != list(range(1, len(parts) + 1)) or any(p["copies"] != copies or p["block"] is None for p in parts):
+                if [p["segment"] for p in parts] != list(range(1, len(parts) + 1)) or any(p["copies"] != copies for p in parts):
                     raise ValueError(f"segments of {origin} are missing or differ")
                 block = b"".join(p["block"] for p in parts)
                 if parts[-1]["total"] != len(block):
