@@ -60,6 +60,9 @@ def row_count_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+SPARE_RANKS = 4  # ranks that a percentile's bracket must leave on either side of it
+
+
 def exact_percentiles(
     df: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float], accuracy: int = 10000
 ) -> DataFrame:
@@ -67,29 +70,32 @@ def exact_percentiles(
 
     The built-in exact percentile keeps all distinct values of a group in one
     buffer. Here a sketch brackets each percentile, everything below the bracket
-    is only counted, and just the values inside it (a share of about 4/accuracy
-    of the group) are ranked. The sketch's rank error is within 1/accuracy, and a
-    target outside its bracket raises instead of giving a wrong value.
+    is only counted, and just the values inside it are ranked. Brackets of rising
+    width come from one sketch; each group takes the narrowest that leaves a few
+    ranks on either side of its percentile (about 4/accuracy of a large group).
+    The sketch's rank error is within 1/accuracy, and a target outside its bracket
+    raises instead of giving a wrong value.
     """
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
-    margin = 2.0 / accuracy
     names, ps = list(points), list(points.values())
+    margins = [2.0 / accuracy * 4**k for k in range(12) if 2.0 / accuracy * 4**k < 1] + [1.0]
 
-    def edges(shift: float) -> Column:
-        wanted = [min(1.0, max(0.0, p + shift)) for p in ps]
+    def edges(sign: int) -> Column:
+        wanted = [min(1.0, max(0.0, p + sign * m)) for p in ps for m in margins]
         return F.percentile_approx("__v", wanted, accuracy)
 
     sketch = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max"),
-        edges(-margin).alias("__lo"), edges(margin).alias("__hi"),
+        edges(-1).alias("__lo"), edges(1).alias("__hi"),
     )
+    # how many of the margins are narrower than a few ranks of the group
+    narrow = reduce(lambda a, b: a + b, [(F.lit(m) * F.col("__n") < SPARE_RANKS).cast("int") for m in margins[:-1]], F.lit(0))
 
     def target(i: int) -> Column:
-        p = F.lit(ps[i])
-        # a group of few values is ranked whole: its bracket could be narrower than one rank
-        few = F.col("__n") <= 5 * accuracy
-        low = F.when(few | F.lit(ps[i] <= margin), F.col("__min")).otherwise(F.col("__lo")[i])
-        high = F.when(few | F.lit(ps[i] >= 1 - margin), F.col("__max")).otherwise(F.col("__hi")[i])
+        p, at, margin = F.lit(ps[i]), narrow + i * len(margins), F.element_at(F.array(*map(F.lit, margins)), narrow + 1)
+        # an edge beyond the group's ends is the end itself
+        low = F.when(p <= margin, F.col("__min")).otherwise(F.col("__lo")[at])
+        high = F.when(p >= 1 - margin, F.col("__max")).otherwise(F.col("__hi")[at])
         return F.struct(
             F.lit(i).alias("i"), low.alias("low"), high.alias("high"),
             (p * (F.col("__n") - 1)).alias("rank"),

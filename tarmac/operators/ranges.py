@@ -13,6 +13,7 @@ from a sample, and a task rerun after an executor loss must see the same ones.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -22,13 +23,20 @@ from pyspark.sql import Window
 from tarmac.session import scratch_path
 
 PART = "__part"
+RANGE_ROWS = 200_000  # mean rows of a range: what one task sorts, whatever the table's size
 
 
-def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The rows with the number of their range, fixed in a written table."""
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return stored(df.repartitionByRange(parts, *keys, *order).withColumn(PART, F.spark_partition_id()))
+def ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], range_rows: int = RANGE_ROWS) -> DataFrame:
+    """The rows with the number of their range, fixed in a written table.
+
+    There are as many ranges as the rows ask for. A null in a key or order column raises.
+    """
+    parts = max(1, math.ceil(df.count() / range_rows))
+    named = [*keys, *order]
+    for name in named:
+        message = F.raise_error(F.lit(f"{name} must not be null in a range")).cast(df.schema[name].dataType)
+        df = df.withColumn(name, F.when(F.col(name).isNull(), message).otherwise(F.col(name)))
+    return stored(df.repartitionByRange(parts, *named).withColumn(PART, F.spark_partition_id()))
 
 
 def stored(df: DataFrame) -> DataFrame:

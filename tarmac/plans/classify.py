@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -13,6 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.operators.ordering import hash_fraction
+from tarmac.operators.ranges import stored
+
+LEAST_BINS = 64
 
 
 @dataclass(frozen=True)
@@ -33,7 +37,11 @@ def train(
     df: DataFrame, label: str, positive: str, negative: str, exclude: Sequence[str] = (),
     trees: int = 5, depth: int = 4,
 ) -> Classifier:
-    """Fit on a labelled table; rows with missing inputs are skipped, text columns indexed."""
+    """Fit on a labelled table; rows with missing inputs are skipped, text columns indexed.
+
+    The inputs are stored once, then indexed in one pass. A text column's values are the
+    bins of its splits, so a column of very many values is costly: bucket or hash it first.
+    """
     inputs = [c for c in df.columns if c != label and c not in exclude]
     texts = [c for c in inputs if df.schema[c].dataType.simpleString() == "string"]
     numbers = [c for c in inputs if c not in texts]
@@ -41,30 +49,39 @@ def train(
         *[F.col(c).cast("double").alias(c) for c in numbers], *texts,
         (F.col(label) == positive).cast("double").alias("__label"),
     )
-    stages = [StringIndexer(inputCol=c, outputCol=f"{c}__i", handleInvalid="skip") for c in texts]
+    rows = stored(rows.dropna())
+    stages, bins = [], LEAST_BINS
+    if texts:  # a value not seen in training gets an index of its own
+        indexer = StringIndexer(inputCols=texts, outputCols=[f"{c}__i" for c in texts], handleInvalid="keep").fit(rows)
+        stages, bins = [indexer], max(bins, *(len(values) + 1 for values in indexer.labelsArray))
     vector = VectorAssembler(
-        inputCols=numbers + [f"{c}__i" for c in texts], outputCol="__features", handleInvalid="skip"
+        inputCols=numbers + [f"{c}__i" for c in texts], outputCol="__features", handleInvalid="keep"
     )
     boosted = GBTClassifier(
-        labelCol="__label", featuresCol="__features", maxIter=trees, maxDepth=depth, maxBins=64, seed=11
+        labelCol="__label", featuresCol="__features", maxIter=trees, maxDepth=depth, maxBins=bins, seed=11
     )
     model = Pipeline(stages=[*stages, vector, boosted]).fit(rows)
     return Classifier(model, numbers + texts, positive, negative)
 
 
 def predict(c: Classifier, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """The kept columns with predicted class and probability of the positive one."""
+    """The kept columns of every row, with predicted class and probability of the positive one.
+
+    A row that lacks an input has a null prediction.
+    """
     casts: dict[str, Column] = {
         name: F.col(name).cast("double")
         for name in c.inputs
         if df.schema[name].dataType.simpleString() != "string"
     }
-    kept = df.select("*", *[F.col(k).alias(f"__keep_{k}") for k in keep])
+    whole = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in c.inputs], F.lit(True))
+    kept = df.select("*", whole.alias("__whole"), *[F.col(k).alias(f"__keep_{k}") for k in keep])
     scored = c.model.transform(kept.withColumns(casts))
+    known = F.col("__whole")
     return scored.select(
         *[F.col(f"__keep_{k}").alias(k) for k in keep],
-        F.when(F.col("prediction") == 1.0, c.positive).otherwise(c.negative).alias("predicted"),
-        vector_to_array("probability")[1].alias("probability"),
+        F.when(known, F.when(F.col("prediction") == 1.0, c.positive).otherwise(c.negative)).alias("predicted"),
+        F.when(known, vector_to_array("probability")[1]).alias("probability"),
     )
 
 

@@ -254,7 +254,7 @@ def clustered_layout(spark: SparkSession, sf: str) -> DataFrame:
     )
     stored = sinks.clustered_layout(
         flights, scratch_path(spark, "clustered"), "year", ["flight_date_key", "origin_airport_key"],
-        "flight_event_key", files=8,
+        "flight_event_key", file_rows=100_000,
     )
     month = F.floor(F.col("flight_date_key") / 100) % 100
     return stored.groupBy("year", month.alias("month"), F.col("origin_airport_key").alias("airport")).agg(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -22,11 +23,15 @@ BASE_CONF = {
 
 
 def build_session(
-    app: str = "tarmac", master: str = "local[*]", shuffle_partitions: int = 8, **conf: str
+    app: str = "tarmac", master: str = "local[*]", shuffle_partitions: int | None = None, **conf: str
 ) -> SparkSession:
-    """A session for tests and benches; a cluster job brings its own."""
+    """A session for tests and benches; a cluster job brings its own.
+
+    Without ``shuffle_partitions`` Spark's own setting holds.
+    """
     builder = SparkSession.builder.master(master).appName(app)
-    settings = {**BASE_CONF, "spark.sql.shuffle.partitions": str(shuffle_partitions), **conf}
+    sized = {} if shuffle_partitions is None else {"spark.sql.shuffle.partitions": str(shuffle_partitions)}
+    settings = {**BASE_CONF, **sized, **conf}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -35,10 +40,14 @@ def build_session(
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, a laptop) is a local folder used.
+    A local folder is used only where that setting is absent and the executors are
+    threads of this process; on a cluster they would not see it, so it is an error there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all of {master} shares")
         base = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -40,14 +41,16 @@ def append_sink(
 
 
 def clustered_layout(
-    df: DataFrame, path: str, partition_col: str, cluster_cols: Sequence[str], tie: str, files: int
+    df: DataFrame, path: str, partition_col: str, cluster_cols: Sequence[str], tie: str, file_rows: int = 1_000_000
 ) -> DataFrame:
     """Store partitioned by ``partition_col`` and sorted inside by the cluster columns.
 
     Rows are range-partitioned on (partition, cluster, tie): the high-cardinality
     ``tie`` column lets a hot date spread over several tasks and files, while the
-    ranges keep neighbouring values together for min/max file skipping.
+    ranges keep neighbouring values together for min/max file skipping. There are
+    as many ranges as ``file_rows`` rows each ask for.
     """
+    files = max(1, math.ceil(df.count() / file_rows))
     order = [partition_col, *cluster_cols, tie]
     (
         df.repartitionByRange(files, *order)

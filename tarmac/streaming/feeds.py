@@ -89,13 +89,29 @@ def start_batches(
 
 
 def write_batch(rows: DataFrame, log: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
-    """Write (or, on a replay, rewrite) the folder of one batch, partitioned inside if asked for."""
+    """Write (or, on a replay, rewrite) the folder of one batch, partitioned inside if asked for.
+
+    Only the last batch may be rewritten. A checkpoint that was lost starts to count
+    anew, and would replace the past batch by batch: that raises.
+    """
+    if (newest := last_batch(rows.sparkSession, log)) is not None and newest > batch_id:
+        raise ValueError(f"batch {batch_id} would replace a past batch of {log}, whose last is {newest}")
     if partition_by:
         # evens out files: small partitions share a task, a hot one is split
         rows = rows.hint("rebalance", *[F.col(c) for c in partition_by])
     rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{log}/batch_id={batch_id}")
 
 
+def last_batch(spark: SparkSession, log: str) -> int | None:
+    """The largest batch number of a log, by the names of its folders."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(log)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(path):
+        return None
+    names = [f.getPath().getName() for f in store.listStatus(path)]
+    return max((int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id=")), default=None)
+
+
 def read_log(spark: SparkSession, log: str, schema: T.StructType, before: int | None = None) -> DataFrame:
     """The change log with its ``batch_id``; ``before`` hides the batch being replayed and later ones.
 
@@ -166,12 +182,14 @@ def merge_bookings(
     keyed = with_keys(source, BOOKING_KEY).withColumn("created_at", F.col("ingest_timestamp"))
     # reduced before it is used twice: the state needs the batch's keys, the merge its rows
     keyed = latest_per_key(keyed, BOOKING_KEY, order).persist()
-    state = state_of(spark, log, BOOKING_FACT, BOOKING_KEY, keyed.select(*BOOKING_KEY), batch_id)
-    changes = merge_changes(
-        state, keyed, BOOKING_KEY, "booking_status", "updated_at", F.col("s.ingest_timestamp"), order, BOOKING_DEFAULTS
-    )
-    write_batch(changes, log, batch_id)
-    keyed.unpersist()
+    try:
+        state = state_of(spark, log, BOOKING_FACT, BOOKING_KEY, keyed.select(*BOOKING_KEY), batch_id)
+        changes = merge_changes(
+            state, keyed, BOOKING_KEY, "booking_status", "updated_at", F.col("s.ingest_timestamp"), order, BOOKING_DEFAULTS
+        )
+        write_batch(changes, log, batch_id)
+    finally:
+        keyed.unpersist()
 
 
 def bookings_batch(spark: SparkSession, t: Tables, cabins: DataFrame, log: str) -> BatchFn:
@@ -212,18 +230,14 @@ def apply_flight_updates(target: DataFrame, updates: DataFrame, order: Sequence[
     )
 
 
-# up to so many days a batch's dates are put into the scan as constants
-PRUNED_DAYS = 400
-
-
 def on_days_of(log_rows: DataFrame, batch: DataFrame, day: str) -> DataFrame:
-    """Log rows of the days a batch names: partitions are pruned if the days are few.
+    """Log rows between the first and the last day that a batch names.
 
-    At most PRUNED_DAYS + 1 numbers reach the driver; a batch of more days reads
-    the log unpruned, the join that follows picks its rows either way.
+    Two numbers of one aggregate become constants, so the scan leaves out the
+    partitions of other days; the join that follows picks the rows.
     """
-    days = [r[0] for r in batch.select(day).distinct().limit(PRUNED_DAYS + 1).collect()]
-    return log_rows.filter(F.col(day).isin(*days)) if 0 < len(days) <= PRUNED_DAYS else log_rows
+    span = batch.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    return log_rows.filter(F.col(day).between(span["first"], span["last"]))
 
 
 def merge_flights(
@@ -236,14 +250,18 @@ def merge_flights(
     flight's own key. With a log partitioned by flight date (``partition_by``) a
     batch reads only the days it names.
     """
-    keyed = with_keys(updates, FLIGHT_KEY)
-    named = keyed.select(*FLIGHT_KEY).distinct()
-    past = read_log(spark, log, schema, batch_id)
-    if partition_by:
-        past = on_days_of(past, named, "flight_date_key")
-    touched = past.join(named, FLIGHT_KEY, "left_semi")
-    state = latest_per_key(touched, ["flight_event_key"], ["batch_id"]).drop("batch_id")
-    write_batch(apply_flight_updates(state, keyed, order), log, batch_id, partition_by)
+    # parsed once: the days, the named flights and the merge all read it
+    keyed = latest_per_key(with_keys(updates, FLIGHT_KEY), FLIGHT_KEY, order).persist()
+    try:
+        named = keyed.select(*FLIGHT_KEY)
+        past = read_log(spark, log, schema, batch_id)
+        if partition_by:
+            past = on_days_of(past, named, "flight_date_key")
+        touched = past.join(named, FLIGHT_KEY, "left_semi")
+        state = latest_per_key(touched, ["flight_event_key"], ["batch_id"]).drop("batch_id")
+        write_batch(apply_flight_updates(state, keyed, order), log, batch_id, partition_by)
+    finally:
+        keyed.unpersist()
 
 
 def flights_batch(

@@ -2,6 +2,7 @@
 
 import random
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import Window
@@ -12,6 +13,7 @@ from tarmac.operators import aggregates as A
 from tarmac.operators import governance, joins, ordering, quality, snapshot, windows
 from tarmac.operators import upsert as U
 from tarmac.operators.fanout import Branch, FanOut
+from tarmac.operators.ranges import PART, ranged
 from tarmac.session import scratch_path
 
 
@@ -76,6 +78,34 @@ def test_exact_percentiles_match_the_builtin(spark, accuracy):
         assert x[0] == y[0] and x[1:] == pytest.approx(y[1:])
 
 
+def test_percentiles_of_small_and_large_groups_take_one_path(spark):
+    df = spark.range(130_000).select(F.when(F.col("id") % 13 < 12, "large").otherwise("small").alias("g"), (F.hash("id") % 1_000_003 / 7).alias("v"))
+    points = {"p1": 0.01, "mid": 0.5, "p999": 0.999}
+    got = A.exact_percentiles(df, ["g"], "v", points)
+    want = df.groupBy("g").agg(*[F.percentile("v", p) for p in points.values()])
+    for x, y in zip(rows_of(got), rows_of(want), strict=True):
+        assert x[0] == y[0] and x[1:] == pytest.approx(y[1:])
+
+
+def test_null_keys_of_ranges_raise(spark):
+    rows = spark.createDataFrame([(1, 1), (None, 2)], "k long, n long")
+    with pytest.raises(Exception, match="k must not be null"):
+        ranged(rows, ["k"], ["n"])
+
+
+def test_ranges_follow_the_rows(spark):
+    assert ranged(spark.range(1000), [], ["id"], range_rows=100).select(PART).distinct().count() >= 8
+    assert ranged(spark.range(1000), [], ["id"]).select(PART).distinct().count() == 1
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    conf = SimpleNamespace(get=lambda key, default: None, set=lambda *_: None)
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_path(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master)), "x")
+    assert scratch_path(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="local[4]")), "x")
+
+
 @pytest.fixture(scope="module")
 def activity(spark):
     """One passenger holds most rows."""

@@ -190,7 +190,10 @@ def test_classifier_learns_and_skips_bad_rows(spark):
     predicted = classify.predict(model, test, ["id", "label"])
     metrics = classify.classify_metrics(predicted, "label", model).first()
     assert metrics.accuracy == 1.0 and metrics.f1 == 1.0
-    assert predicted.count() == test.filter("noise IS NOT NULL").count()
+    assert predicted.count() == test.count()  # a row without an input has a null prediction
+    assert predicted.filter("predicted IS NULL").count() == test.filter("noise IS NULL").count() > 0
+    unseen = classify.predict(model, test.withColumn("colour", F.lit("green")), ["id"])
+    assert unseen.filter("predicted IS NOT NULL").count() == test.filter("noise IS NOT NULL").count()
     ranked = classify.feature_importance(model, rows).collect()
     assert ranked[0].feature == "x" and [r["rank"] for r in ranked] == [1, 2, 3]
 

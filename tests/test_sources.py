@@ -92,6 +92,6 @@ def test_hot_partition_is_spread_over_files(spark):
     rows = spark.range(20000).select(
         F.col("id"), F.when(F.col("id") < 100, 20240102).otherwise(20240101).alias("d"), (F.col("id") % 3).alias("a")
     )
-    stored = sinks.clustered_layout(rows, scratch_path(spark, "l"), "d", ["a"], "id", files=8)
+    stored = sinks.clustered_layout(rows, scratch_path(spark, "l"), "d", ["a"], "id", file_rows=100)
     assert stored.count() == 20000
     assert stored.filter("d = 20240101").select(F.input_file_name()).distinct().count() >= 6

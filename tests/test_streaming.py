@@ -51,8 +51,8 @@ def test_bookings(spark, tmp_path):
     assert rows["E"].cabin_class_key is None and rows["E"].passenger_key == 2
     assert a.updated_at > a.created_at
     before = sorted(map(str, rows.values()))
-    replay = json_landing(spark, str(tmp_path / "raw" / "1.json"), "PSS")
-    feeds.bookings_batch(spark, airline(spark), reference.cabins(spark), log)(replay, 1)
+    replay = json_landing(spark, str(tmp_path / "raw" / "2.json"), "PSS")  # the last batch; earlier ones are final
+    feeds.bookings_batch(spark, airline(spark), reference.cabins(spark), log)(replay, 2)
     state = feeds.current_state(spark, log, feeds.BOOKING_FACT, feeds.BOOKING_KEY)
     assert sorted(map(str, state.collect())) == before
     compact = scratch_path(spark, "compact")
@@ -83,12 +83,26 @@ def test_flight_updates(spark, tmp_path, partition_by):
     assert then.filter("flight_status = 'LANDED'").count() == 0  # the past is still there
 
 
-def test_batch_days_prune_the_log(spark, monkeypatch):
-    log_rows = spark.range(10).select(F.col("id").cast("int").alias("day"))
-    batch = spark.range(2, 4).select(F.col("id").cast("int").alias("day"))
-    assert sorted(r.day for r in feeds.on_days_of(log_rows, batch, "day").collect()) == [2, 3]
-    monkeypatch.setattr(feeds, "PRUNED_DAYS", 1)
-    assert feeds.on_days_of(log_rows, batch, "day").count() == 10
+def test_batch_days_prune_the_log(spark):
+    path = scratch_path(spark, "days")
+    spark.range(1000).select(F.col("id"), (F.col("id") % 500).cast("int").alias("day")).write.partitionBy("day").parquet(path)
+    log_rows = spark.read.schema("id long, day int").parquet(path)
+    for first, last in ((2, 4), (0, 450)):  # many days are pruned like few
+        batch = spark.range(first, last).select(F.col("id").cast("int").alias("day"))
+        kept = feeds.on_days_of(log_rows, batch, "day")
+        assert sorted({r.day for r in kept.collect()}) == list(range(first, last))
+        assert "PartitionFilters: [isnotnull(day" in kept._jdf.queryExecution().executedPlan().toString()
+    assert feeds.on_days_of(log_rows, spark.range(0).select(F.col("id").cast("int").alias("day")), "day").count() == 0
+
+
+def test_a_lost_checkpoint_does_not_replace_past_batches(spark):
+    log = scratch_path(spark, "log")
+    rows = spark.range(3).select(F.col("id").alias("delay_key"))
+    for batch in (-1, 0, 1, 1):  # the last batch may be replayed
+        feeds.write_batch(rows, log, batch)
+    with pytest.raises(ValueError, match="would replace a past batch"):
+        feeds.write_batch(rows.limit(0), log, 0)
+    assert spark.read.parquet(log).count() == 9
 
 
 def test_feedback_is_scored_once(spark, tmp_path):
