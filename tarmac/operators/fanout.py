@@ -5,7 +5,9 @@ and f feedbacks yields b*f rows, each booking counted f times. The result only
 depends on per-key sums and row counts, so each detail table is aggregated by key
 first and the other tables' row counts enter as weights. The answer equals the
 row-by-row join exactly, a hot key costs one row, and the fan-out-safe answer is
-the same plan with all weights 1.
+the same plan with all weights 1. A detail row whose key no base row has is left out
+before the aggregate (``prune``), so that a report over few days does not shuffle
+the detail of all of them.
 """
 
 from __future__ import annotations
@@ -28,15 +30,20 @@ class Branch:
 
 
 class FanOut:
-    def __init__(self, base: DataFrame, key: str, branches: Sequence[Branch], literal: bool = True):
+    def __init__(
+        self, base: DataFrame, key: str, branches: Sequence[Branch], literal: bool = True, prune: bool = False
+    ):
         self.literal = literal
         self.names = [b.name for b in branches]
         out = base
         for b in branches:
             source = b.key or key
+            rows = b.rows.filter(F.col(source).isNotNull())
+            if prune:
+                wanted = base.select(F.col(key).alias("__wanted"))
+                rows = rows.join(wanted, F.col(source) == F.col("__wanted"), "left_semi")
             per_key = (
-                b.rows.filter(F.col(source).isNotNull())
-                .groupBy(F.col(source).alias(key))
+                rows.groupBy(F.col(source).alias(key))
                 .agg(
                     F.count(F.lit(1)).cast("double").alias(f"{b.name}__rows"),
                     *[m.alias(n) for n, m in b.measures.items()],

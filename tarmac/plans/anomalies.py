@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,11 +95,17 @@ def fuel_anomaly_report(found: DataFrame, k: int = 15) -> DataFrame:
     )
 
 
-def all_anomalies(delay: DataFrame, fuel: DataFrame) -> DataFrame:
-    def part(found: DataFrame) -> DataFrame:
-        return found.filter("is_anomaly").select(
+def anomalies_of(found: Mapping[str, DataFrame]) -> DataFrame:
+    """The anomalies of several domains under one another."""
+
+    def part(rows: DataFrame) -> DataFrame:
+        return rows.filter("is_anomaly").select(
             F.col("series").alias("entity"), F.col("ts").alias("detected_at"),
             F.col("y").alias("actual_value"), F.col("forecast").alias("expected_value"), "is_anomaly",
         )
 
-    return union_all({"DELAY": part(delay), "FUEL": part(fuel)})
+    return union_all({domain: part(rows) for domain, rows in found.items()})
+
+
+def all_anomalies(delay: DataFrame, fuel: DataFrame) -> DataFrame:
+    return anomalies_of({"DELAY": delay, "FUEL": fuel})

@@ -143,7 +143,7 @@ def route_performance(t: Tables, as_of: AsOf, literal: bool = True) -> DataFrame
     first = iso_day(as_of, -365)
     flights = t.flights_between(first).join(t.flight_dates(["full_date"]), "flight_date_key")
     routes = t.route.select("route_key", "route_code", "origin_iata", "destination_iata", "route_type")
-    f = FanOut(flights, "flight_event_key", _branches(t, first, delays=False), literal)
+    f = FanOut(flights, "flight_event_key", _branches(t, first, delays=False), literal, prune=True)
     keys = ["route_key", "route_code", "origin_iata", "destination_iata", "route_type", "full_date"]
     cancelled = F.col("flight_status") == "CANCELLED"
     return (
@@ -191,7 +191,7 @@ def daily_kpi(t: Tables, as_of: AsOf, literal: bool = True) -> DataFrame:
 def daily_kpi_of(t: Tables, flights: DataFrame, first: str | None, literal: bool = True) -> DataFrame:
     """The daily measures of a given set of flights (whole days)."""
     dated = flights.join(t.flight_dates(["full_date"]), "flight_date_key")
-    f = FanOut(dated, "flight_event_key", _branches(t, first, delays=True), literal)
+    f = FanOut(dated, "flight_event_key", _branches(t, first, delays=True), literal, prune=True)
     cancelled = F.col("flight_status") == "CANCELLED"
     return (
         f.rows.groupBy("full_date")

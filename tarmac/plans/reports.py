@@ -132,7 +132,7 @@ def airport_share(t: Tables, as_of: AsOf, literal: bool = True) -> DataFrame:
         f"{cause.lower()}_n": F.count_if(F.col("delay_category") == cause) for cause in SHARED_CAUSES
     }
     dated = t.flights_between(first).join(t.flight_dates(["full_date", "day_name", "season"]), "flight_date_key")
-    f = FanOut(dated, "flight_event_key", [Branch("delay", delays, causes)], literal)
+    f = FanOut(dated, "flight_event_key", [Branch("delay", delays, causes)], literal, prune=True)
     origin = Dim(t.airport, "airport_key", "origin_airport_key",
                  {"airport_code": "iata_code", "airport_name": "airport_name"})
     on_time = F.col("arrival_delay_min") <= 15

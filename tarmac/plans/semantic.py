@@ -145,6 +145,8 @@ def semantic_query(
         raise KeyError(f"metrics must share one fact table, got {sorted(facts)}")
     base = facts.pop()
     rows: DataFrame = getattr(t, base)
+    if where is not None:  # over the fact's own columns, whether or not they are selected
+        rows = rows.filter(where)
     needed = {name: resolve(term, (base, "passenger", "airport", "route", "date")) for name, term in terms.items()}
 
     links: list[tuple[str, str, str, str]] = []
@@ -158,8 +160,6 @@ def semantic_query(
         wanted |= {c for table, c, _, _ in links if table == parent}
         side = getattr(t, parent).select(F.col(parent_key).alias("__key"), *sorted(wanted - {parent_key}))
         rows = rows.join(side, F.col(column) == F.col("__key")).drop("__key")
-    if where is not None:
-        rows = rows.filter(where)
     aggregates = []
     for m in metrics:
         value = F.lit(1) if m.measure == "rows" else F.col(resolve(m.measure, (base,))[1])

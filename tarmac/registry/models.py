@@ -314,30 +314,46 @@ def fuel_anomaly_report(spark: SparkSession, sf: str) -> DataFrame:
     return anomalies.fuel_anomaly_report(_fuel_found(spark, sf))
 
 
-@query("all_anomalies", oracle("domain:s entity:s detected_at:d actual_value:r expected_value:r is_anomaly:b", f"""
-    SELECT 'DELAY' AS domain, series AS entity, ts AS detected_at, y AS actual_value, forecast AS expected_value, is_anomaly
-    FROM ({_scored('days', 0.99)}) WHERE is_anomaly
-    UNION ALL SELECT 'DEMAND', series, ts, y, forecast, is_anomaly FROM demand_found WHERE is_anomaly""",
-    days=DELAY_DAYS, hist=TRAIN, **_fit("hist", CUT),
-    days2=f"""SELECT route_code AS series, flight_date AS ds, CAST(sum(pax_booked) AS DOUBLE) AS y FROM flight
-      JOIN route USING (route_key) WHERE flight_date >= {TODAY} - 90 GROUP BY ALL""",
-    points2=f"SELECT *, CAST(ds - {CUT} AS DOUBLE) AS x, isodow(ds) AS dow FROM days2 WHERE ds <= {CUT}",
-    trend2="""SELECT series, coalesce(CASE WHEN count(*) > 1 THEN regr_slope(y, x) END, 0) AS slope,
+def _second(days: str) -> dict[str, str]:
+    """CTEs that fit and score a further set of series, as ``found2``."""
+    return {
+        "days2": days,
+        "points2": f"SELECT *, CAST(ds - {CUT} AS DOUBLE) AS x, isodow(ds) AS dow FROM days2 WHERE ds <= {CUT}",
+        "trend2": """SELECT series, coalesce(CASE WHEN count(*) > 1 THEN regr_slope(y, x) END, 0) AS slope,
       coalesce(CASE WHEN count(*) > 1 THEN regr_intercept(y, x) END, avg(y)) AS level FROM points2 GROUP BY 1""",
-    rests2="SELECT series, dow, y - (level + slope * x) AS rest FROM points2 JOIN trend2 USING (series)",
-    seasons2="SELECT series, dow, avg(rest) AS season FROM rests2 GROUP BY 1, 2",
-    spread2="SELECT series, coalesce(stddev_samp(rest - season), 0) AS sigma FROM rests2 JOIN seasons2 USING (series, dow) GROUP BY 1",
-    demand_found=f"""SELECT series, ds AS ts, y, forecast, abs(y - forecast) > {NormalDist().inv_cdf(0.975)!r}::DOUBLE * sigma + 1e-9 AS is_anomaly
+        "rests2": "SELECT series, dow, y - (level + slope * x) AS rest FROM points2 JOIN trend2 USING (series)",
+        "seasons2": "SELECT series, dow, avg(rest) AS season FROM rests2 GROUP BY 1, 2",
+        "spread2": "SELECT series, coalesce(stddev_samp(rest - season), 0) AS sigma FROM rests2 JOIN seasons2 USING (series, dow) GROUP BY 1",
+        "found2": f"""SELECT series, ds AS ts, y, forecast, abs(y - forecast) > {NormalDist().inv_cdf(0.975)!r}::DOUBLE * sigma + 1e-9 AS is_anomaly
       FROM (SELECT d.series, d.ds, y, sigma, {_expected('d.ds', CUT)} AS forecast FROM days2 d JOIN trend2 t ON t.series = d.series
-        JOIN spread2 s ON s.series = d.series LEFT JOIN seasons2 w ON w.series = d.series AND w.dow = isodow(d.ds) WHERE d.ds > {CUT})"""))
+        JOIN spread2 s ON s.series = d.series LEFT JOIN seasons2 w ON w.series = d.series AND w.dow = isodow(d.ds) WHERE d.ds > {CUT})""",
+    }
+
+
+ANOMALY_COLUMNS = "domain:s entity:s detected_at:d actual_value:r expected_value:r is_anomaly:b"
+
+
+@query("all_anomalies", oracle(ANOMALY_COLUMNS, f"""
+    SELECT 'DELAY' AS domain, series AS entity, ts AS detected_at, y AS actual_value, forecast AS expected_value, is_anomaly
+    FROM ({_scored('days', 0.99)}) WHERE is_anomaly
+    UNION ALL SELECT 'FUEL', series, ts, y, forecast, is_anomaly FROM found2 WHERE is_anomaly""",
+    days=DELAY_DAYS, hist=TRAIN, **_fit("hist", CUT), **_second(FUEL_DAYS)))
 def all_anomalies(spark: SparkSession, sf: str) -> DataFrame:
-    """Delay anomalies by airport beside demand anomalies by route."""
-    t = bind(spark, sf)
-    series = forecasting.demand_series(t, AS_OF)
+    """Delay anomalies by airport beside fuel anomalies by aircraft."""
+    return anomalies.all_anomalies(_delay_found(spark, sf), _fuel_found(spark, sf))
+
+
+@query("demand_anomalies", oracle(ANOMALY_COLUMNS, """
+    SELECT 'DEMAND' AS domain, series AS entity, ts AS detected_at, y AS actual_value, forecast AS expected_value, is_anomaly
+    FROM found2 WHERE is_anomaly""",
+    **_second(f"""SELECT route_code AS series, flight_date AS ds, CAST(sum(pax_booked) AS DOUBLE) AS y FROM flight
+      JOIN route USING (route_key) WHERE flight_date >= {TODAY} - 90 GROUP BY ALL""")))
+def demand_anomalies(spark: SparkSession, sf: str) -> DataFrame:
+    """Demand anomalies by route."""
+    series = forecasting.demand_series(bind(spark, sf), AS_OF)
     cut = F.date_sub(F.lit(AS_OF).cast("date"), 15)
-    demand = anomalies.detect_anomalies(series.filter(F.col("ds") <= cut), series.filter(F.col("ds") > cut), AS_OF, 0.95)
-    both = anomalies.all_anomalies(_delay_found(spark, sf), demand)
-    return both.replace("FUEL", "DEMAND", "domain")
+    found = anomalies.detect_anomalies(series.filter(F.col("ds") <= cut), series.filter(F.col("ds") > cut), AS_OF, 0.95)
+    return anomalies.anomalies_of({"DEMAND": found})
 
 
 # ---------------------------------------------------------------- M. training sets, classifiers, features

@@ -294,3 +294,17 @@ def test_quality(spark):
     assert rows_of(quality.key_checks(df, ["k"], ["p"])) == [("duplicate_keys", 1), ("null_k", 1), ("null_p", 1), ("surplus_rows", 1)]
     got = quality.domain_checks(df, {"p": quality.PRIORITY}, {"nps": (0, 10)})
     assert rows_of(got) == [("nps_range", 1), ("p_allowed", 1)]
+
+
+def test_fan_out_leaves_out_details_before_it_aggregates_them(spark):
+    base = spark.createDataFrame([(1, 10), (2, 20), (None, 5)], "k long, v long")
+    detail = spark.createDataFrame([(1, 3), (1, 4), (9, 100), (None, 7)], "k long, m long")
+
+    def fan(prune):
+        f = FanOut(base, "k", [Branch("one", detail, {"a": F.sum("m")}), Branch("two", detail, {"b": F.sum("m")})], prune=prune)
+        return f.rows.agg(f.sum("v").alias("v"), f.sum("a", "one").alias("a"), f.sum("b", "two").alias("b"))
+
+    assert rows_of(fan(True)) == rows_of(fan(False))
+    plan = fan(True)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = {w: [len(x) - len(x.lstrip(" +-:")) for x in plan if w in x] for w in ("Aggregate [k", "Join LeftSemi")}
+    assert len(depth["Join LeftSemi"]) == 2 and min(depth["Join LeftSemi"]) > min(depth["Aggregate [k"])

@@ -228,5 +228,7 @@ def test_semantic_roles_and_filters(spark):
     assert semantic.semantic_query(t, mean, {"from_": "airport code"}).collect()[0].from_ == "LHR"
     some = semantic.semantic_query(t, mean, ["day"], where=F.col("arrival_delay_min") > 15)
     assert some.first().late == 20.0 and some.first().day == date(2026, 6, 15)
+    landed = semantic.semantic_query(t, mean, ["day"], where=F.col("flight_status") == "LANDED")  # a column that is not selected
+    assert landed.first().late == 15.0
     with pytest.raises(KeyError, match="one fact table"):
         semantic.semantic_query(t, [*mean, semantic.Metric("sum", "ticket price", "p")], ["day"])
