@@ -181,18 +181,22 @@ def scd2_apply(
     attributes of the open one and take surrogate keys above the largest in use
     (in order of key and time); unknown keys are ignored. Running it twice with
     the same changes adds nothing. Versions are compared on range partitions, so
-    a key that repeats endlessly is spread over tasks.
+    a key that repeats endlessly is spread over tasks. Only open versions whose key
+    has later changes are compared; all other rows pass straight through.
     """
     history = dim.filter(~F.col("is_current"))
-    current = dim.filter(F.col("is_current"))
-    opened = current.select(key, "effective_from", *tracked, F.lit(0).cast("bigint").alias("__new"))
+    every = dim.filter(F.col("is_current"))
     arriving = (
         changes.select(key, F.col(ts).alias("effective_from"), *tracked, F.lit(1).cast("bigint").alias("__new"))
-        .join(current.select(key, F.col("effective_from").alias("__since")), key)
+        .join(every.select(key, F.col("effective_from").alias("__since")), key)
         .filter(F.col("effective_from") > F.col("__since"))
         .drop("__since")
     )
-    arriving = latest_per_key(arriving, [key, "effective_from"], tracked)
+    arriving = stored(latest_per_key(arriving, [key, "effective_from"], tracked))  # its keys are used four times
+    moved = arriving.select(key).distinct()
+    current, still = every.join(moved, key, "left_semi"), every.join(moved, key, "left_anti")
+    still = still.withColumn("effective_to", F.lit(OPEN_END).cast("timestamp_ntz")).select(*dim.columns)
+    opened = current.select(key, "effective_from", *tracked, F.lit(0).cast("bigint").alias("__new"))
     rows = ranged(opened.unionByName(arriving), [key], ["effective_from"])
 
     state = F.struct(*tracked)
@@ -211,4 +215,4 @@ def scd2_apply(
         "effective_to": F.coalesce("__next", F.lit(OPEN_END).cast("timestamp_ntz")),
         "is_current": F.col("__next").isNull(),
     })
-    return history.unionByName(versions.select(*dim.columns))
+    return history.unionByName(still).unionByName(versions.select(*dim.columns))
