@@ -25,7 +25,7 @@ HEADLINE = (
     "churn_shortlist", "multi_fact_fanout", "count_distinct", "percentile_cont", "running_balance", "merge_upsert",
     "merge_update_only", "scd2_apply", "as_of_snapshot", "forecast", "detect_anomalies", "churn_training",
     "cancel_training", "passenger_features", "passenger_feature_rows", "sentiment", "summarise", "extract_answer",
-    "semantic_query", "key_checks", "stream_feedback",
+    "semantic_query", "key_checks", "stream_feedback", "stream_bookings", "stream_flights", "all_anomalies", "classify_metrics",
 )
 
 
