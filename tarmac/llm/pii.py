@@ -201,10 +201,10 @@ def sanitised(text: Column, pii: str = "pii") -> Column:
 
 def sanitise(docs: DataFrame, **thresholds: float) -> DataFrame:
     """The documents with sanitised texts; a null text stays null, ``n_chars`` follows the text."""
-    pii = fresh(docs, "pii")
-    clean = sanitised(F.col("text"), pii)
-    out = {c: F.col(f"`{c}`") for c in docs.columns}
-    out["text"] = clean
+    pii, clean = fresh(docs, "pii"), fresh(docs, "__clean")
+    # A step of its own: a select that renames this to text must not compute from the new text.
+    told = protect(docs, pii, **thresholds).withColumn(clean, sanitised(F.col("text"), pii))
+    out = {c: F.col(f"`{c}`") for c in docs.columns} | {"text": F.col(clean)}
     if "n_chars" in out:
         out["n_chars"] = F.coalesce(F.length(clean).cast(docs.schema["n_chars"].dataType), out["n_chars"])
-    return protect(docs, pii, **thresholds).select(*[c.alias(n) for n, c in out.items()])
+    return told.select(*[c.alias(n) for n, c in out.items()])
