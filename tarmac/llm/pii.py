@@ -114,7 +114,8 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 def proposed(docs: DataFrame, evidence: int = LEAST_EVIDENCE, bits: float = GENERALISE_BITS) -> DataFrame:
     """(entity, term, texts): terms often beside an entity and, beside entities, mostly beside that one."""
-    near = occurrences(docs).select("entity", "digest", "surroundings", F.explode(F.array_distinct("beside")).alias("term"))
+    near = stored(occurrences(docs))  # few rows, each dear to find again
+    near = near.select("entity", "digest", "surroundings", F.explode(F.array_distinct("beside")).alias("term"))
     seen = near.groupBy("entity", "term", "surroundings").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(F.count("*").alias("evidence"))
     seen = seen.filter(F.col("evidence") >= evidence)
     told = near.join(seen.select("term").distinct(), "term", "left_semi").select("entity", "term", "digest").distinct()
