@@ -8,7 +8,8 @@ zero; a temperature fitted on rows kept out of the fit calibrates the probabilit
 
 Nulls and edge cases: a null text, or one without a letter, is ``und`` with score 0; rows with a
 null language or text teach nothing; with no training row every text is ``und``; repeated rows
-count as often as they occur; rows are neither moved nor dropped.
+count as often as they occur in the frequencies, and one row of an id in the fit; rows are
+neither moved nor dropped.
 """
 
 from __future__ import annotations
@@ -174,7 +175,8 @@ def train(docs: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> Model:
     """Fit on the text and lang of documents that are not held out.
 
     Rows are sampled by a hash of the id at a rate that expects ``sample`` rows of a
-    language. Their sparse counts, not their texts, come to the driver.
+    language; one row of an id is taken, so that a repeated or null id cannot swell the
+    sample. Their sparse counts, not their texts, come to the driver.
     """
     ship(docs.sparkSession)
     known = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter(
@@ -199,7 +201,8 @@ def train(docs: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> Model:
         return score
 
     rows, kept = [], []
-    taken = annotate(chosen, "text", ["doc_id", "lang"], "at binary, n binary", make).filter(F.length("at") > 0).collect()
+    taken = annotate(chosen, "text", ["doc_id", "lang"], "at binary, n binary", make).filter(F.length("at") > 0)
+    taken = taken.groupBy("doc_id").agg(F.min(F.struct("lang", "at", "n")).alias("row")).select("doc_id", "row.*").collect()
     for i, row in enumerate(sorted(taken, key=lambda r: (r["doc_id"] is None, r["doc_id"], bytes(r["at"])))):
         found = np.zeros(BUCKETS, np.int64)
         found[np.frombuffer(row["at"], "<u2")] = np.frombuffer(row["n"], "<u4")

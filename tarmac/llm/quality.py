@@ -9,7 +9,8 @@ As the layer is linear, a feature's vector and the layer collapse to one number
 
 Nulls and edge cases: a null or empty text has no features and scores the bias alone; rows with
 no label or a null one teach nothing, nor does a document whose labels contradict each other;
-with no labels every score is 0.5; repeated rows are scored alike; no row is moved or dropped.
+with no labels every score is 0.5; of a repeated id one row enters the fit, and repeated rows
+are scored alike; no row is moved or dropped.
 """
 
 from __future__ import annotations
@@ -147,7 +148,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_PER_CLASS) ->
 
         return score
 
-    taken = annotate(told, "text", ["doc_id", "__label"], "at binary, n binary", make).filter(F.length("at") > 0).collect()
+    taken = annotate(told, "text", ["doc_id", "__label"], "at binary, n binary", make).filter(F.length("at") > 0)
+    taken = taken.groupBy("doc_id").agg(F.min(F.struct("__label", "at", "n")).alias("row")).select("doc_id", "row.*").collect()
     rows = []
     for row in sorted(taken, key=lambda r: (r["doc_id"], bytes(r["at"]))):
         n = np.frombuffer(row["n"], "<u2").astype(float)

@@ -182,13 +182,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS, calibra
     """Grow the forest on sampled documents and set its threshold on sampled labelled ones.
 
     Both samples are drawn by a hash of the id at a rate that expects the stated number
-    of rows, and eight numbers a row come to the driver. The sampled labels are broadcast.
+    of rows; one row of an id counts, so that a repeated or null id cannot swell them. Nine
+    numbers a row come to the driver. The sampled labels are broadcast.
     """
     rows = docs.count()
     if not rows:
         return Forest()
     source = docs.select("doc_id", "text")
-    some = _measure(source.filter(_drawn("doc_id", "forest") < min(1.0, sample / rows)), ["doc_id"]).collect()
+    some = _measure(source.filter(_drawn("doc_id", "forest") < min(1.0, sample / rows)), ["doc_id"])
+    some = some.groupBy("doc_id").agg(F.min("ratios").alias("ratios")).collect()
     drawn = _ratios(sorted(tuple(r["ratios"]) for r in some))
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id")
     known = known.agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).filter("quality = most")
@@ -199,7 +201,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS, calibra
     chosen = known.filter(_drawn("doc_id", "threshold") < rate).select(F.col("doc_id").alias("__id"), F.col("quality").alias("__label"))
     told = source.join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))  # bounded by ``calibration``
     # What fails the base rules is not kept in any case, so it does not set the threshold.
-    found = _measure(told, ["__label"]).filter("NOT failed").collect()
+    found = _measure(told, ["__id", "__label"]).filter("NOT failed")
+    found = found.groupBy("__id").agg(F.min("__label").alias("__label"), F.min("ratios").alias("ratios")).collect()
     return fit(drawn, _ratios([r["ratios"] for r in found]), np.array([r["__label"] for r in found]))
 
 

@@ -68,9 +68,10 @@ def _descend(key: Column, tree: Tree) -> Column:
 def assign(docs: DataFrame, tree: Tree, grown: Tree, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard of every row.
 
-    ``slot`` counts from 0 without gaps in each shard, in the order of a second hash of the id.
-    Slots are counted in runs of that hash: the rows of a run are numbered in one window, and
-    the runs' sizes, one small row each, are summed up before it. Equal ids are spread by text.
+    ``slot`` counts from 0 without gaps in each shard, in the order of a hash of the row's id
+    and its place in the stored table. Slots are counted in runs of that hash: the rows of a run
+    are numbered in one window, and the runs' sizes, one small row each, are summed up before
+    it. Rows of one id have places of their own, so a repeated id is spread over the runs.
     """
     key = F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
     body = F.coalesce(F.col(text), F.lit(""))
@@ -80,17 +81,15 @@ def assign(docs: DataFrame, tree: Tree, grown: Tree, doc_id: str = "doc_id", tex
         F.crc32(body.cast("binary")).alias("text_crc32"),
         _descend(key, tree).cast("int").alias("shard"),
         _descend(key, grown).cast("int").alias("grown_shard"),
-        unit(F.xxhash64(F.concat(key, F.lit(":slot")))).alias("u"),
-        F.monotonically_increasing_id().alias("tie"),
+        F.monotonically_increasing_id().alias("place"),
     )
     rows = stored(placed)
-    runs = max(1, math.ceil(rows.count() / RUN_ROWS / 4))
-    spread = F.pmod(F.xxhash64("tie"), F.lit(4))  # so that one repeated id is in several runs
-    rows = rows.withColumn("run", F.floor(F.col("u") * runs) * 4 + spread)
+    runs = max(1, math.ceil(rows.count() / RUN_ROWS))
+    rows = rows.withColumn("u", unit(F.xxhash64("doc_id", "place"))).withColumn("run", F.floor(F.col("u") * runs))
     sizes = rows.groupBy("shard", "run").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     opening = sizes.select("shard", "run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("opening"))
-    within = Window.partitionBy("shard", "run").orderBy("u", "doc_id", "tie")
+    within = Window.partitionBy("shard", "run").orderBy("u", "place")
     numbered = rows.withColumn("n", F.row_number().over(within) - 1)
     slot = (F.col("n") + F.col("opening")).cast("long").alias("slot")
     return numbered.join(opening, ["shard", "run"]).select("doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", slot, "grown_shard")

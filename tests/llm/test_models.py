@@ -169,3 +169,18 @@ def test_quality_features_do_not_depend_on_slices_at_blanks(monkeypatch):
     monkeypatch.setattr(quality, "TEXT_AT_ONCE", 200)
     parts = Counter(np.concatenate(list(quality.features(text))).tolist())
     assert sum((whole - parts).values()) < 0.05 * sum(whole.values())
+
+
+def test_a_repeated_id_enters_a_fit_once(spark, monkeypatch):
+    draw = random.Random(4)
+    own = [(i, words(draw, "en" if i % 2 else "de", 30), "en" if i % 2 else "de") for i in range(60)]
+    docs = spark.createDataFrame(own + [(None, words(draw, "fr", 30), "fr") for _ in range(200)] + [own[1]] * 200, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    seen = {}
+    for module, name in ((langid, "fit_ftrl"), (quality, "fit_sgd")):
+        fit = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda rows, *a, fit=fit, name=name: (seen.update({name: len(rows)}), fit(rows, *a))[1])
+    grow = rules.fit
+    monkeypatch.setattr(rules, "fit", lambda sample, labelled, q: (seen.update(forest=len(sample), labelled=len(labelled)), grow(sample, labelled, q))[1])
+    langid.train(docs), quality.train(docs, labels), rules.train(docs, labels)
+    assert seen["fit_ftrl"] <= 61 and seen["fit_sgd"] <= 60 and seen["forest"] == 61 and seen["labelled"] <= 60
