@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -91,16 +91,26 @@ AGGREGATES = {
 
 @dataclass(frozen=True)
 class Metric:
-    """An aggregate of a named measure; ``count`` of ``rows`` counts fact rows."""
+    """An aggregate of a named measure; ``count`` of ``rows`` counts fact rows.
+
+    ``percent`` is the share of fact rows whose measure fulfils ``holds``, times 100.
+    """
 
     aggregate: str
     measure: str
     name: str
+    holds: Callable[[Column], Column] | None = None
 
 
 def resolve(term: str, prefer: Sequence[str] = ()) -> tuple[str, str]:
-    """(table, column) of a column name or synonym; an ambiguous term needs ``prefer``."""
+    """(table, column) of a column name or synonym; an ambiguous term needs ``prefer``.
+
+    ``table.column`` names any column of a table, with or without a business name.
+    """
     wanted = term.strip().lower()
+    table, _, column = wanted.partition(".")
+    if column and table in SYNONYMS:
+        return table, column
     found = [
         (table, column)
         for table, columns in SYNONYMS.items()
@@ -132,13 +142,16 @@ def path_to(base: str, target: str, via: str | None = None) -> list[tuple[str, s
 def semantic_query(
     t: Tables, metrics: Sequence[Metric], dimensions: Mapping[str, str] | Sequence[str],
     where: Column | None = None, via: str | None = None,
+    only: Mapping[str, Callable[[Column], Column]] | None = None, top: tuple[str, int] | None = None,
 ) -> DataFrame:
     """Metrics by dimensions. All metrics must live on one fact table.
 
     ``dimensions`` lists terms, or maps output names to terms. ``via`` picks the
-    foreign key where a dimension plays two roles (``dest_airport_key``).
+    foreign key where a dimension plays two roles (``dest_airport_key``). ``only`` keeps the
+    rows whose terms, of the fact or a dimension, fulfil a predicate. ``top`` (metric, n) keeps
+    the n groups with the greatest metric, nulls last and ties by the dimensions.
     """
-    terms = dict(dimensions) if isinstance(dimensions, Mapping) else {d.replace(" ", "_"): d for d in dimensions}
+    terms = dict(dimensions) if isinstance(dimensions, Mapping) else {d.rpartition(".")[2].replace(" ", "_"): d for d in dimensions}
     measured = [resolve(m.measure, ("flight", "booking", "delay", "feedback")) for m in metrics if m.measure != "rows"]
     facts = {table for table, _ in measured}
     if len(facts) != 1:
@@ -147,10 +160,15 @@ def semantic_query(
     rows: DataFrame = getattr(t, base)
     if where is not None:  # over the fact's own columns, whether or not they are selected
         rows = rows.filter(where)
-    needed = {name: resolve(term, (base, "passenger", "airport", "route", "date")) for name, term in terms.items()}
+    order = (base, "passenger", "airport", "route", "date")
+    needed = {name: resolve(term, order) for name, term in terms.items()}
+    tested = [(*resolve(term, order), holds) for term, holds in (only or {}).items()]
+    for column, holds in [(c, h) for table, c, h in tested if table == base]:
+        rows = rows.filter(holds(F.col(column)))
+    tested = [x for x in tested if x[0] != base]
 
     links: list[tuple[str, str, str, str]] = []
-    for table, _ in needed.values():
+    for table in [*(table for table, _ in needed.values()), *(table for table, _, _ in tested)]:
         links += [step for step in path_to(base, table, via) if step not in links]
     own = {c for table, c in needed.values() if table == base} | {c for _, c in measured}
     own |= {column for table, column, _, _ in links if table == base}
@@ -158,10 +176,18 @@ def semantic_query(
     for _, column, parent, parent_key in links:
         wanted = {c for table, c in needed.values() if table == parent}
         wanted |= {c for table, c, _, _ in links if table == parent}
-        side = getattr(t, parent).select(F.col(parent_key).alias("__key"), *sorted(wanted - {parent_key}))
+        side = getattr(t, parent)
+        for c, holds in [(c, h) for table, c, h in tested if table == parent]:
+            side = side.filter(holds(F.col(c)))
+        side = side.select(F.col(parent_key).alias("__key"), *sorted(wanted - {parent_key}))
         rows = rows.join(side, F.col(column) == F.col("__key")).drop("__key")
     aggregates = []
     for m in metrics:
         value = F.lit(1) if m.measure == "rows" else F.col(resolve(m.measure, (base,))[1])
-        aggregates.append(AGGREGATES[m.aggregate](value).alias(m.name))
-    return rows.groupBy(*[F.col(c).alias(name) for name, (_, c) in needed.items()]).agg(*aggregates)
+        if m.aggregate == "percent":
+            out = F.count(F.when(m.holds(value), 1)) * 100.0 / F.nullif(F.count(F.lit(1)), F.lit(0))
+        else:
+            out = AGGREGATES[m.aggregate](value)
+        aggregates.append(out.alias(m.name))
+    told = rows.groupBy(*[F.col(c).alias(name) for name, (_, c) in needed.items()]).agg(*aggregates)
+    return told if top is None else told.orderBy(F.desc_nulls_last(f"`{top[0]}`"), *[f"`{name}`" for name in needed]).limit(top[1])

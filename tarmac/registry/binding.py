@@ -281,7 +281,7 @@ def gate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('T', s_suppkey % 3 + 1) AS terminal",
         "concat('T', s_suppkey % 3 + 1, lpad(CAST(s_suppkey % 20 + 1 AS string), 2, '0')) AS gate_number",
         "CAST(NULL AS string) AS flight_number",
-        "CASE WHEN s_suppkey % 4 = 0 THEN 'ASSIGNED' ELSE 'AVAILABLE' END AS assignment_status",
+        "CASE WHEN s_suppkey DIV 20 % 4 = 0 THEN 'ASSIGNED' ELSE 'AVAILABLE' END AS assignment_status",
         "s_suppkey % 20 + 1 <= 10 AS is_widebody_capable",
     )
 

@@ -624,6 +624,47 @@ def semantic_query_two_hops(spark: SparkSession, sf: str) -> DataFrame:
     return semantic.semantic_query(bind(spark, sf), wanted, {"haul": "haul type"})
 
 
+@query("semantic_on_time", oracle("otp_percentage:r", f"""
+    SELECT count(*) FILTER (WHERE arrival_delay_min <= 15) * 100.0 / nullif(count(*), 0) AS otp_percentage
+    FROM flight JOIN cal ON date_key = flight_date_key WHERE full_date >= {TODAY} - 7 AND flight_status = 'LANDED'"""))
+def semantic_on_time(spark: SparkSession, sf: str) -> DataFrame:
+    """Share of landed flights on time since a week ago."""
+    wanted = [semantic.Metric("percent", "arrival delay", "otp_percentage", lambda delay: delay <= 15)]
+    since = F.date_sub(F.lit(AS_OF).cast("date"), 7)
+    only = {"day": lambda day: day >= since, "flight.flight_status": lambda status: status == "LANDED"}
+    return semantic.semantic_query(bind(spark, sf), wanted, [], only=only)
+
+
+@query("semantic_late_routes", oracle("route_code:s avg_delay:r flights:i", """
+    SELECT route_code, avg(arrival_delay_min) AS avg_delay, count(*) AS flights
+    FROM flight JOIN route USING (route_key) GROUP BY 1 ORDER BY avg_delay DESC NULLS LAST, route_code LIMIT 10"""))
+def semantic_late_routes(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten routes of the greatest mean arrival delay."""
+    wanted = [semantic.Metric("avg", "arrival delay", "avg_delay"), semantic.Metric("count", "rows", "flights")]
+    return semantic.semantic_query(bind(spark, sf), wanted, {"route_code": "route"}, top=("avg_delay", 10))
+
+
+@query("semantic_delay_cost", oracle("delay_category:s total_cost:r incidents:i", """
+    SELECT delay_category, sum(total_cost_impact) AS total_cost, count(*) AS incidents FROM delayed GROUP BY 1"""))
+def semantic_delay_cost(spark: SparkSession, sf: str) -> DataFrame:
+    """Cost and number of delays by category."""
+    wanted = [semantic.Metric("sum", "delay cost", "total_cost"), semantic.Metric("count", "rows", "incidents")]
+    return semantic.semantic_query(bind(spark, sf), wanted, {"delay_category": "cause"})
+
+
+@query("semantic_unhappy_members", oracle("unhappy_diamond_members:i", """
+    SELECT count(DISTINCT passenger_key) AS unhappy_diamond_members FROM feedback JOIN passenger USING (passenger_key)
+    WHERE loyalty_tier = 'DIAMOND' AND sentiment_label = 'NEGATIVE'"""))
+def semantic_unhappy_members(spark: SparkSession, sf: str) -> DataFrame:
+    """How many members of the top tier gave negative feedback."""
+    wanted = [semantic.Metric("count distinct", "feedback.passenger_key", "unhappy_diamond_members")]
+    only = {
+        "membership level": lambda tier: tier == "DIAMOND", "passenger.is_current": lambda current: current,
+        "feedback.sentiment_label": lambda label: label == "NEGATIVE",
+    }
+    return semantic.semantic_query(bind(spark, sf), wanted, [], only=only)
+
+
 @query("key_checks", oracle("check_name:s violations:i", """
     SELECT unnest(['duplicate_keys', 'surplus_rows', 'null_l_orderkey', 'null_l_linenumber', 'null_l_shipdate']) AS check_name,
       unnest([dup, surplus, 0, 0, 0]) AS violations

@@ -137,7 +137,7 @@ ROLES = {
     "gate": """
         SELECT s_suppkey AS assignment_id, n_name AS airport_iata, 'T' || (s_suppkey % 3 + 1) AS terminal,
           'T' || (s_suppkey % 3 + 1) || lpad(CAST(s_suppkey % 20 + 1 AS VARCHAR), 2, '0') AS gate_number,
-          CASE WHEN s_suppkey % 4 = 0 THEN 'ASSIGNED' ELSE 'AVAILABLE' END AS assignment_status
+          CASE WHEN s_suppkey // 20 % 4 = 0 THEN 'ASSIGNED' ELSE 'AVAILABLE' END AS assignment_status
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
 }
 TODAY = f"DATE '{AS_OF}'"

@@ -230,5 +230,12 @@ def test_semantic_roles_and_filters(spark):
     assert some.first().late == 20.0 and some.first().day == date(2026, 6, 15)
     landed = semantic.semantic_query(t, mean, ["day"], where=F.col("flight_status") == "LANDED")  # a column that is not selected
     assert landed.first().late == 15.0
+    share = [semantic.Metric("percent", "arrival delay", "on_time", lambda delay: delay <= 15)]
+    assert semantic.semantic_query(t, share, []).first().on_time == 50.0
+    from_lhr = {"airport code": lambda code: code == "LHR"}
+    assert semantic.semantic_query(t, mean, [], only=from_lhr).first().late == 15.0
+    assert semantic.semantic_query(t, share, [], only={"airport code": lambda code: code == "none"}).first().on_time is None
+    latest = semantic.semantic_query(t, mean, ["flight.flight_event_key"], top=("late", 1)).collect()
+    assert [(r[0], r.late) for r in latest] == [(2, 20.0)]
     with pytest.raises(KeyError, match="one fact table"):
         semantic.semantic_query(t, [*mean, semantic.Metric("sum", "ticket price", "p")], ["day"])
