@@ -2,8 +2,9 @@
 
 Each whole text gives counts (words, symbols, repeated lines and word runs) and from them
 ratios. A ratio enters as its excess over the limit that nearly all rows of label 1 respect, so
-that ordinary variation does not look odd. Trees of random splits are grown on a bounded sample
-of documents' excesses; a document that few splits part from the rest has a short path and a
+that ordinary variation does not look odd. Trees of random splits are grown on samples of
+documents' excesses, each drawn out of all documents by a hash of its own; where a sample does not
+vary in an excess, splits are drawn from the range that it has over all documents. A document that few splits part from the rest has a short path and a
 high anomaly score. Labelled rows set the threshold: the lowest that keeps all but a stated share
 of label 1. The base rules stand beside the verdict: what they fail is not kept.
 
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import annotate, fresh
+from tarmac.operators.ranges import stored
 
 # Fixed values of the base rules.
 SYMBOLS = "#*$%&|<>"
@@ -30,7 +32,7 @@ WHITE = " \t\n\x0b\x0c\r"
 LEAST_WORDS, MOST_REPEATED_PERCENT, WINDOW = 20, 30, 8
 
 TREES, TREE_ROWS = 200, 256
-SAMPLE_ROWS = 4_000  # expected documents in the forest's sample; the bound of the fit
+SPARE = 1.5  # a tree's rows are the least hashes of so many times as many expected ones
 CALIBRATION_ROWS = 4_000  # expected labelled rows of each class that set the threshold
 GOOD_WITHIN, MARGIN, LEEWAY = 0.999, 1.1, 0.01  # a ratio's limit: that quantile of label 1's calibration rows, widened
 GOOD_LOST = 0.004  # at most this share of calibration rows of label 1 may be rejected
@@ -130,27 +132,59 @@ class Forest:
         return 2 ** (-total / len(self.trees) / max(mean_path(self.rows), 1e-9))
 
 
-def grow(sample: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = 5) -> Forest:
-    """Trees over random subsets of the sample's rows, as deep as the logarithm of their size."""
+@dataclass
+class Sample:
+    """Distinct rows drawn for some tree, the row numbers of each tree, and all documents' least and greatest values."""
+
+    values: np.ndarray
+    trees: list[np.ndarray]
+    low: np.ndarray
+    high: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.values)
+
+
+def subsets(values: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = 4) -> Sample:
+    """Random subsets of rows that are all at hand."""
     draw = np.random.default_rng(seed)
-    rows = min(rows, len(sample))
+    parts = [draw.choice(len(values), min(rows, len(values)), replace=False) for _ in range(trees if len(values) else 0)]
+    none = np.zeros(values.shape[1])
+    return Sample(values, parts, values.min(axis=0, initial=np.inf), values.max(axis=0, initial=-np.inf)) if len(values) else Sample(values, parts, none, none)
+
+
+def grow(sample: Sample | np.ndarray, seed: int = 5) -> Forest:
+    """A tree over each subset of the sample's rows, as deep as the logarithm of its size.
+
+    A split lies in the range of the rows at the node or, where these are all equal, in what the
+    splits above have left of the range of all documents.
+    """
+    sample = sample if isinstance(sample, Sample) else subsets(sample)
+    draw = np.random.default_rng(seed)
+    rows = max(map(len, sample.trees), default=0)
     depth = max(1, int(np.ceil(np.log2(max(rows, 2)))))
     out = Forest(rows=rows)
-    for _ in range(trees if rows else 0):
+    for chosen in sample.trees:
         size = 2 ** (depth + 1) - 1
         feature, split, length = np.full(size, -1), np.zeros(size), np.zeros(size)
-        todo = [(0, 0, sample[draw.choice(len(sample), rows, replace=False)])]
+        todo = [(0, 0, sample.values[chosen], sample.low, sample.high)]
         while todo:
-            node, level, part = todo.pop()
-            low, high = (part.min(axis=0), part.max(axis=0)) if len(part) else (np.zeros(1), np.zeros(1))
-            able = np.flatnonzero(high > low)
-            if level == depth or len(part) < 2 or not len(able):
+            node, level, part, low, high = todo.pop()
+            if level == depth or len(part) < 2:
+                length[node] = level + mean_path(len(part))
+                continue
+            least, most = part.min(axis=0), part.max(axis=0)
+            start, stop = np.where(most > least, least, low), np.where(most > least, most, high)
+            able = np.flatnonzero(stop > start)
+            if not len(able):
                 length[node] = level + mean_path(len(part))
                 continue
-            feature[node] = draw.choice(able)
-            split[node] = draw.uniform(low[feature[node]], high[feature[node]])
-            right = part[:, feature[node]] >= split[node]
-            todo += [(2 * node + 1, level + 1, part[~right]), (2 * node + 2, level + 1, part[right])]
+            f = feature[node] = draw.choice(able)
+            split[node] = draw.uniform(start[f], stop[f])
+            right = part[:, f] >= split[node]
+            below, above = high.copy(), low.copy()
+            below[f] = above[f] = split[node]
+            todo += [(2 * node + 1, level + 1, part[~right], low, below), (2 * node + 2, level + 1, part[right], above, high)]
         out.trees.append((feature, split, length))
     return out
 
@@ -169,7 +203,11 @@ def _measure(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
     """``keep`` and the ``ratios`` of every text."""
 
     def make() -> Callable[[list], list]:
-        return lambda texts: [[statistics(t)[1] for t in texts], [base_failed(statistics(t)[0]) for t in texts]]
+        def measure(texts: list) -> list:
+            found = [statistics(t) for t in texts]
+            return [[r for _, r in found], [base_failed(c) for c, _ in found]]
+
+        return measure
 
     return annotate(docs, "text", keep, "ratios array<double>, failed boolean", make)
 
@@ -178,31 +216,50 @@ def _drawn(doc_id: str, salt: str):
     return F.pmod(F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(salt)), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS, calibration: int = CALIBRATION_ROWS) -> Forest:
-    """Grow the forest on sampled documents and set its threshold on sampled labelled ones.
+def draw_trees(measured: DataFrame) -> Sample:
+    """Each tree's rows by its own hash of the id out of all documents, and the ratios' ranges over all rows.
 
-    Both samples are drawn by a hash of the id at a rate that expects the stated number
-    of rows; one row of an id counts, so that a repeated or null id cannot swell them. Nine
+    One row of an id counts in a tree, so that a repeated or null id cannot swell it. About
+    ``TREES * TREE_ROWS * SPARE`` rows come to the driver, whatever the table's size.
+    """
+    units = measured.groupBy("doc_id").agg(F.min("ratios").alias("ratios"))
+    count = units.count()
+    least = int(min(1.0, SPARE * TREE_ROWS / max(count, 1)) * (1 << 52))
+    unit = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    hashes = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(t.alias("t"), F.pmod(F.xxhash64(unit, F.lit("tree"), t), F.lit(1 << 52)).alias("h")))
+    drawn = units.select("ratios", F.filter(hashes, lambda x: x["h"] < least).alias("at")).filter(F.size("at") > 0).collect()
+    drawn.sort(key=lambda r: (tuple(r["ratios"]), min(r["at"])))
+    found: list[list[tuple[int, int]]] = [[] for _ in range(TREES)]
+    for i, r in enumerate(drawn):
+        for x in r["at"]:
+            found[x["t"]].append((x["h"], i))
+    trees = [np.array([i for _, i in sorted(x)[:TREE_ROWS]]) for x in found if x]
+    ends = measured.agg(*[f(F.col("ratios")[i]).alias(f"{n}{i}") for n, f in (("low", F.min), ("high", F.max)) for i in range(len(RATIOS))]).first()
+    return Sample(_ratios([r["ratios"] for r in drawn]), trees, *(np.array([ends[f"{n}{i}"] for i in range(len(RATIOS))], float) for n in ("low", "high")))
+
+
+def train(docs: DataFrame, labels: DataFrame, calibration: int = CALIBRATION_ROWS) -> Forest:
+    """Grow the forest on rows drawn from all documents and set its threshold on sampled labelled ones.
+
+    The labelled sample is drawn by a hash of the id at a rate that expects the stated number
+    of rows; one row of an id counts, so that a repeated or null id cannot swell it. Nine
     numbers a row come to the driver. The sampled labels are broadcast.
     """
-    rows = docs.count()
-    if not rows:
-        return Forest()
     source = docs.select("doc_id", "text")
-    some = _measure(source.filter(_drawn("doc_id", "forest") < min(1.0, sample / rows)), ["doc_id"])
-    some = some.groupBy("doc_id").agg(F.min("ratios").alias("ratios")).collect()
-    drawn = _ratios(sorted(tuple(r["ratios"]) for r in some))
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id")
     known = known.agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).filter("quality = most")
     shares = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
-    if len(shares) < 2 or not len(drawn):
+    if len(shares) < 2:
+        return Forest()
+    measured = stored(_measure(source, ["doc_id"]))
+    drawn = draw_trees(measured)
+    if not len(drawn):
         return Forest()
     rate = F.when(F.col("quality") == 1, min(1.0, calibration / shares[1])).otherwise(min(1.0, calibration / shares[0]))
     chosen = known.filter(_drawn("doc_id", "threshold") < rate).select(F.col("doc_id").alias("__id"), F.col("quality").alias("__label"))
-    told = source.join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))  # bounded by ``calibration``
     # What fails the base rules is not kept in any case, so it does not set the threshold.
-    found = _measure(told, ["__id", "__label"]).filter("NOT failed")
-    found = found.groupBy("__id").agg(F.min("__label").alias("__label"), F.min("ratios").alias("ratios")).collect()
+    told = measured.filter("NOT failed").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))  # bounded by ``calibration``
+    found = told.groupBy("__id").agg(F.min("__label").alias("__label"), F.min("ratios").alias("ratios")).collect()
     return fit(drawn, _ratios([r["ratios"] for r in found]), np.array([r["__label"] for r in found]))
 
 
@@ -210,13 +267,14 @@ def _ratios(rows: list) -> np.ndarray:
     return np.array(rows, float).reshape(len(rows), len(RATIOS))
 
 
-def fit(sample: np.ndarray, labelled: np.ndarray, quality: np.ndarray) -> Forest:
+def fit(sample: Sample, labelled: np.ndarray, quality: np.ndarray) -> Forest:
     """Limits from label 1, trees from the sample, the threshold from both labels."""
     good = labelled[quality == 1]
     if not len(good):
         return Forest()
     limits = MARGIN * np.quantile(good, GOOD_WITHIN, axis=0) + LEEWAY
-    forest = grow(Forest(limits=limits).excess(sample))
+    excess = Forest(limits=limits).excess
+    forest = grow(Sample(excess(sample.values), sample.trees, excess(sample.low), excess(sample.high)))
     forest.limits = limits
     forest.threshold = calibrate(forest.anomaly(labelled), quality)
     return forest

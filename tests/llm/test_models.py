@@ -184,3 +184,16 @@ def test_a_repeated_id_enters_a_fit_once(spark, monkeypatch):
     monkeypatch.setattr(rules, "fit", lambda sample, labelled, q: (seen.update(forest=len(sample), labelled=len(labelled)), grow(sample, labelled, q))[1])
     langid.train(docs), quality.train(docs, labels), rules.train(docs, labels)
     assert seen["fit_ftrl"] <= 61 and seen["fit_sgd"] <= 60 and seen["forest"] == 61 and seen["labelled"] <= 60
+
+
+def test_a_rare_kind_of_junk_is_scored_in_a_large_table(spark):
+    words = "array_join(transform(sequence(1, 40), i -> concat('word', pmod(hash(id, i), 5000))), ' ')"
+    docs = spark.range(12_000).selectExpr("id AS doc_id", f"{words} AS text")
+    rare = " ".join(f"{c}" * 60 for c in "abcdefghijklmnopqrstuvwxyz")
+    odd = spark.createDataFrame([(20_000 + i, " ".join(f"w{j}***" for j in range(30 + i))) for i in range(60)], docs.schema)
+    labels = docs.selectExpr("doc_id", "1 AS quality").limit(900).union(odd.selectExpr("doc_id", "0 AS quality"))
+    for doc_id in range(30_000, 30_003):
+        all_docs = docs.union(odd).union(spark.createDataFrame([(doc_id, rare)], docs.schema))
+        forest = rules.train(all_docs, labels)
+        plain, alone = forest.anomaly(np.array([rules.statistics(t)[1] for t in (docs.first()["text"], rare)]))
+        assert alone > plain + 0.01 and alone > forest.threshold
