@@ -5,8 +5,8 @@ ratios. A ratio enters as its excess over the limit that nearly all rows of labe
 that ordinary variation does not look odd. Trees of random splits are grown on samples of
 documents' excesses, each drawn out of all documents by a hash of its own; where a sample does not
 vary in an excess, splits are drawn from the range that it has over all documents. A document that few splits part from the rest has a short path and a
-high anomaly score. Labelled rows set the threshold: the lowest that keeps all but a stated share
-of label 1. The base rules stand beside the verdict: what they fail is not kept.
+high anomaly score. All labelled rows set limits and threshold, by aggregates: the lowest threshold
+that keeps all but a stated share of label 1. The base rules stand beside the verdict: what they fail is not kept.
 
 Nulls and edge cases: a null text has no words; a text of no words fails the base rules; rows
 without a label, or with labels that contradict each other, calibrate nothing; with no labelled row of either class nothing but the
@@ -16,14 +16,16 @@ base rules rejects; repeated rows are judged alike; rows are neither moved nor d
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import annotate, fresh
+from tarmac.llm.common import annotate, fresh, ship
+from tarmac.operators.aggregates import exact_percentiles
 from tarmac.operators.ranges import stored
 
 # Fixed values of the base rules.
@@ -33,9 +35,9 @@ LEAST_WORDS, MOST_REPEATED_PERCENT, WINDOW = 20, 30, 8
 
 TREES, TREE_ROWS = 200, 256
 SPARE = 1.5  # a tree's rows are the least hashes of so many times as many expected ones
-CALIBRATION_ROWS = 4_000  # expected labelled rows of each class that set the threshold
-GOOD_WITHIN, MARGIN, LEEWAY = 0.999, 1.1, 0.01  # a ratio's limit: that quantile of label 1's calibration rows, widened
-GOOD_LOST = 0.004  # at most this share of calibration rows of label 1 may be rejected
+GOOD_WITHIN, MARGIN, LEEWAY = 0.999, 1.1, 0.01  # a ratio's limit: that quantile of all rows of label 1, widened
+GOOD_LOST = 0.004  # at most this share of the rows of label 1 may be rejected
+BINS, SCORED_AT_ONCE = 1_000, 2_048
 
 STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 RATIOS = ["symbol_share", "repeat_share", "dup_line_share", "upper_share", "mark_share", "mean_word", "echo_share", "long_word_share", "word_share"]
@@ -189,14 +191,60 @@ def grow(sample: Sample | np.ndarray, seed: int = 5) -> Forest:
     return out
 
 
-def calibrate(scores: np.ndarray, quality: np.ndarray, lost: float = GOOD_LOST) -> float:
-    """The lowest threshold that rejects at most ``lost`` of label 1; infinite if it rejects nothing of label 0."""
-    good, bad = np.sort(scores[quality == 1]), np.sort(scores[quality == 0])
-    if not len(good) or not len(bad):
+def nth_largest(rows: DataFrame, value: str, n: int) -> float:
+    """The value with ``n`` rows before it in descending order, exactly; ``rows`` has more than ``n``.
+
+    Counts of equal parts of the range pick a part, until all values in it are equal.
+    """
+    x = F.col(value)
+    ends = rows.agg(F.min(x).alias("low"), F.max(x).alias("high")).first()
+    low, high = ends["low"], ends["high"]
+    while low < high:
+        inside = rows.filter(x.between(low, high))
+        # the ends are set apart by name, so that rounding cannot keep both in one part
+        part = F.when(x == high, BINS).otherwise(F.least(F.floor((x - low) / F.lit(high - low) * BINS), F.lit(BINS - 1)))
+        counts = inside.groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.min(x).alias("low"), F.max(x).alias("high"))
+        for r in sorted(counts.collect(), key=lambda r: -r["part"]):
+            if n < r["n"]:
+                low, high = r["low"], r["high"]
+                break
+            n -= r["n"]
+    return float(low)
+
+
+def calibrate(scored: DataFrame, lost: float = GOOD_LOST) -> float:
+    """The lowest threshold that rejects at most ``lost`` of label 1; infinite if it rejects nothing of label 0.
+
+    ``scored`` has (quality, anomaly) and should be a stored table: it is read several times.
+    """
+    good = scored.filter("quality = 1")
+    count = good.count()
+    if not count:
         return np.inf
-    least = good[max(0, len(good) - 1 - int(np.ceil(lost * len(good))))]  # at most that many good rows lie above
-    above = bad[bad > least]
-    return float((least + above[0]) / 2) if len(above) else np.inf
+    least = nth_largest(good, "anomaly", min(count - 1, int(np.ceil(lost * count))))  # at most that many good rows lie above
+    above = scored.filter((F.col("quality") == 0) & (F.col("anomaly") > least)).agg(F.min("anomaly").alias("a")).first()["a"]
+    return float((least + above) / 2) if above is not None else np.inf
+
+
+def find_limits(good: DataFrame) -> np.ndarray:
+    """Each ratio's limit: the exact quantile over all rows of ``good``, widened."""
+    values = good.select(F.posexplode("ratios").alias("i", "v"))
+    found = {r["i"]: r["q"] for r in exact_percentiles(values, ["i"], "v", {"q": GOOD_WITHIN}).collect()}
+    return MARGIN * np.array([found[i] for i in range(len(RATIOS))], float) + LEEWAY
+
+
+def score_ratios(labelled: DataFrame, forest: Forest) -> DataFrame:
+    """quality and anomaly of the rows of (quality, ratios)."""
+    ship(labelled.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SCORED_AT_ONCE):
+                part = batch.slice(at, SCORED_AT_ONCE)
+                scores = forest.anomaly(_ratios(part.column(1).to_pylist()))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64())], names=["quality", "anomaly"])
+
+    return labelled.select(F.col("quality").cast("int").alias("quality"), "ratios").mapInArrow(run, "quality int, anomaly double")
 
 
 def _measure(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -212,10 +260,6 @@ def _measure(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
     return annotate(docs, "text", keep, "ratios array<double>, failed boolean", make)
 
 
-def _drawn(doc_id: str, salt: str):
-    return F.pmod(F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(salt)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-
-
 def draw_trees(measured: DataFrame) -> Sample:
     """Each tree's rows by its own hash of the id out of all documents, and the ratios' ranges over all rows.
 
@@ -238,45 +282,38 @@ def draw_trees(measured: DataFrame) -> Sample:
     return Sample(_ratios([r["ratios"] for r in drawn]), trees, *(np.array([ends[f"{n}{i}"] for i in range(len(RATIOS))], float) for n in ("low", "high")))
 
 
-def train(docs: DataFrame, labels: DataFrame, calibration: int = CALIBRATION_ROWS) -> Forest:
-    """Grow the forest on rows drawn from all documents and set its threshold on sampled labelled ones.
+def train(docs: DataFrame, labels: DataFrame) -> Forest:
+    """Grow the forest on rows drawn from all documents; set limits and threshold on all labelled ones.
 
-    The labelled sample is drawn by a hash of the id at a rate that expects the stated number
-    of rows; one row of an id counts, so that a repeated or null id cannot swell it. Nine
-    numbers a row come to the driver. The sampled labels are broadcast.
+    One row of an id counts among the labelled, the one of the least ratios.
     """
-    source = docs.select("doc_id", "text")
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id")
     known = known.agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).filter("quality = most")
-    shares = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
-    if len(shares) < 2:
+    if known.select("quality").distinct().count() < 2:
         return Forest()
-    measured = stored(_measure(source, ["doc_id"]))
+    measured = stored(_measure(docs.select("doc_id", "text"), ["doc_id"]))
     drawn = draw_trees(measured)
     if not len(drawn):
         return Forest()
-    rate = F.when(F.col("quality") == 1, min(1.0, calibration / shares[1])).otherwise(min(1.0, calibration / shares[0]))
-    chosen = known.filter(_drawn("doc_id", "threshold") < rate).select(F.col("doc_id").alias("__id"), F.col("quality").alias("__label"))
     # What fails the base rules is not kept in any case, so it does not set the threshold.
-    told = measured.filter("NOT failed").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))  # bounded by ``calibration``
-    found = told.groupBy("__id").agg(F.min("__label").alias("__label"), F.min("ratios").alias("ratios")).collect()
-    return fit(drawn, _ratios([r["ratios"] for r in found]), np.array([r["__label"] for r in found]))
+    told = measured.filter("NOT failed").groupBy("doc_id").agg(F.min("ratios").alias("ratios"))
+    labelled = stored(told.join(known, "doc_id").select("quality", "ratios"))
+    good = labelled.filter("quality = 1")
+    if good.isEmpty():
+        return Forest()
+    return fit(drawn, find_limits(good), lambda forest: calibrate(stored(score_ratios(labelled, forest))))
 
 
 def _ratios(rows: list) -> np.ndarray:
     return np.array(rows, float).reshape(len(rows), len(RATIOS))
 
 
-def fit(sample: Sample, labelled: np.ndarray, quality: np.ndarray) -> Forest:
-    """Limits from label 1, trees from the sample, the threshold from both labels."""
-    good = labelled[quality == 1]
-    if not len(good):
-        return Forest()
-    limits = MARGIN * np.quantile(good, GOOD_WITHIN, axis=0) + LEEWAY
+def fit(sample: Sample, limits: np.ndarray, threshold: Callable[[Forest], float]) -> Forest:
+    """Trees over the sample's excesses above the limits, and the threshold that is found for them."""
     excess = Forest(limits=limits).excess
     forest = grow(Sample(excess(sample.values), sample.trees, excess(sample.low), excess(sample.high)))
     forest.limits = limits
-    forest.threshold = calibrate(forest.anomaly(labelled), quality)
+    forest.threshold = threshold(forest)
     return forest
 
 

@@ -197,3 +197,28 @@ def test_a_rare_kind_of_junk_is_scored_in_a_large_table(spark):
         forest = rules.train(all_docs, labels)
         plain, alone = forest.anomaly(np.array([rules.statistics(t)[1] for t in (docs.first()["text"], rare)]))
         assert alone > plain + 0.01 and alone > forest.threshold
+
+
+def test_limits_and_threshold_come_from_all_labelled_rows(spark):
+    draw = np.random.default_rng(12)
+    good, bad = np.round(draw.beta(1, 30, 9_000), 4), draw.uniform(0.05, 1, 7_000)
+    rows = [(1, float(x)) for x in good] + [(0, float(x)) for x in bad]
+    scored = spark.createDataFrame(rows, "quality int, anomaly double").repartition(5)
+    least = np.sort(good)[len(good) - 1 - int(np.ceil(rules.GOOD_LOST * len(good)))]
+    assert rules.calibrate(scored) == (least + bad[bad > least].min()) / 2
+    for n in (0, 1, 17, 4_500, 8_999):
+        assert rules.nth_largest(scored.filter("quality = 1"), "anomaly", n) == np.sort(good)[::-1][n]
+    ratios = draw.beta(1, 30, (9_000, len(rules.RATIOS))) * (draw.random((9_000, len(rules.RATIOS))) < 0.3)
+    ratios[:, 0] = 0
+    limits = rules.find_limits(spark.createDataFrame([(r.tolist(),) for r in ratios], "ratios array<double>"))
+    assert np.allclose(limits, rules.MARGIN * np.quantile(ratios, rules.GOOD_WITHIN, axis=0) + rules.LEEWAY, rtol=1e-12)
+
+
+def test_training_reads_every_labelled_row(spark, monkeypatch):
+    words = "array_join(transform(sequence(1, 25), i -> concat('word', pmod(hash(id, i), 5000))), ' ')"
+    docs = spark.range(10_000).selectExpr("id AS doc_id", f"IF(id % 2 = 0, {words}, replace({words}, 'word', '***')) AS text")
+    seen, limits, calibrate = {}, rules.find_limits, rules.calibrate
+    monkeypatch.setattr(rules, "find_limits", lambda good: (seen.update(good=good.count()), limits(good))[1])
+    monkeypatch.setattr(rules, "calibrate", lambda scored: (seen.update(scored=scored.count()), calibrate(scored))[1])
+    assert np.isfinite(rules.train(docs, docs.selectExpr("doc_id", "int(1 - doc_id % 2) AS quality")).threshold)
+    assert seen == {"good": 5_000, "scored": 10_000}
