@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tarmac.session import scratch_path
+
 # A record batch holds at most this many rows, so that long texts do not pile up in a worker.
 BATCH_ROWS = 256
 
@@ -33,6 +35,30 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+class Scratch:
+    """Intermediate tables in the shared scratch folder that are deleted together.
+
+    Drop them only when no DataFrame that reads them is used any more.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """The rows by way of a written table."""
+        path = scratch_path(self.spark, "rows")
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        """Delete the tables written so far."""
+        for name in self.paths:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.paths = []
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

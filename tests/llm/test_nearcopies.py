@@ -62,7 +62,41 @@ def test_repeated_and_null_ids_and_an_empty_table(frame, spark):
     assert nearcopies.one_per_group(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_rounds_over_a_large_bucket_end_with_the_same_groups(frame, monkeypatch):
-    monkeypatch.setattr(nearcopies, "PAIRS_A_MEMBER", 0)
-    rows = planted()
+def boilerplate():
+    """Unlike texts around shared passages, and one large group of near copies in which few are near the first."""
+    draw = random.Random(5)
+    names = [f"v{i}" for i in range(4000)]
+    passages = [draw.choices(names, k=k) for k in (60, 25, 12)]
+    rows = []
+    for i in range(400):
+        own, shared = draw.choices(names, k=draw.choice([20, 60, 200])), draw.choice(passages)
+        at = draw.randrange(len(own))
+        rows.append((i, " ".join(own[:at] + shared + own[at:])))
+    base = draw.choices(names, k=150)
+    for i in range(500):
+        other = list(base)
+        for _ in range(draw.randint(1, 4)):
+            other[draw.randrange(len(base))] = draw.choice(names)
+        rows.append((1000 + i, " ".join(other)))
+    return rows
+
+
+def test_common_passages_and_a_large_group_of_near_copies(frame):
+    rows = boilerplate()
+    kept = [r.doc_id for r in nearcopies.one_per_group(frame(rows)).collect()]
+    assert sorted(kept) == sorted(least_of_each_group(rows))
+    assert set(range(400)) <= set(kept) and 400 < len(kept) < 600
+
+
+def test_every_near_pair_shares_a_key_whatever_is_common(frame, spark, monkeypatch):
+    monkeypatch.setattr(nearcopies, "COMMON", 2)  # nearly all that is shared comes last
+    rows = [*boilerplate()[300:480], *planted()]
     assert {r.doc_id for r in nearcopies.one_per_group(frame(rows)).collect()} == least_of_each_group(rows)
+
+
+def test_long_texts(frame):
+    draw = random.Random(9)
+    long = [f"u{draw.randrange(10**6)}" for _ in range(60_000)]
+    near = long[:30_000] + ["new"] * 40 + long[30_000:]
+    rows = [(5, " ".join(long)), (3, " ".join(near)), (4, " ".join(long[:45_000])), (9, "x " * 50_000)]
+    assert sorted(r.doc_id for r in nearcopies.one_per_group(frame(rows)).collect()) == [3, 4, 9]
