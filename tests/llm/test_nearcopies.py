@@ -89,8 +89,8 @@ def test_common_passages_and_a_large_group_of_near_copies(frame):
 
 
 def test_every_near_pair_shares_a_key_whatever_is_common(frame, spark, monkeypatch):
-    monkeypatch.setattr(nearcopies, "COMMON", 2)  # nearly all that is shared comes last
-    rows = [*boilerplate()[300:480], *planted()]
+    monkeypatch.setattr(nearcopies, "COMMON", 2)  # nearly all that is shared is common
+    rows = [*((10_000 + i, t) for i, t in boilerplate()[300:480]), *planted()]
     assert {r.doc_id for r in nearcopies.one_per_group(frame(rows)).collect()} == least_of_each_group(rows)
 
 
