@@ -9,6 +9,8 @@ from tarmac.functions import conditions as C
 from tarmac.functions.dates import AsOf, as_of_date, as_of_ts, boundary_diff, iso_day, key_days_before, key_to_date
 from tarmac.operators.fanout import Branch, FanOut
 from tarmac.operators.joins import Dim, star_join
+from tarmac.schemas import struct
+from tarmac.streaming.incremental import Definition, Detail
 from tarmac.tables import Tables, dated_between
 
 
@@ -213,3 +215,60 @@ def daily_kpi_of(t: Tables, flights: DataFrame, first: str | None, literal: bool
         )
         .withColumnRenamed("full_date", "report_date")
     )
+
+
+def daily_kpi_definition(literal: bool = True) -> Definition:
+    """``daily_kpi`` as sums that can be kept up to date; ``daily_kpi_shown`` makes its rows out of them."""
+    details = [
+        Detail("booking", {"amount": F.col("total_amount"), "ancillary": F.col("ancillary_revenue")}),
+        Detail("feedback", {
+            "nps_sum": F.col("nps_score"), "npss": F.col("nps_score").isNotNull().cast("int"),
+            "score_sum": F.col("sentiment_score"), "scores": F.col("sentiment_score").isNotNull().cast("int"),
+            "critical": (F.coalesce(F.col("ai_priority"), F.lit("")) == "CRITICAL").cast("int"),
+        }),
+        Detail("delay", {"cost": F.col("total_cost_impact")}),
+    ]
+
+    def weight(excluding: str | None = None) -> Column:
+        product = F.lit(1.0)
+        for d in details if literal else []:
+            if d.name != excluding:
+                product = product * F.greatest(F.col(d.rows), F.lit(1.0))
+        return product
+
+    def of(name: str, detail: str) -> Column:
+        """A detail total, null for a base row that has no such detail."""
+        return F.when(F.col(f"{detail}__rows") > 0, F.col(name) * weight(detail))
+
+    every = weight()
+    measured = {n: F.col(n) * every for n in ("arrival_delay_min", "pax_flown", "load_factor_pct", "fuel_consumed_kg", "fuel_efficiency_l_per_100km")}
+    counted = {f"{n}_count": F.when(F.col(n).isNotNull(), every) for n in ("arrival_delay_min", "load_factor_pct", "fuel_efficiency_l_per_100km")}
+    base = struct(
+        "flight_event_key bigint, flight_date_key int, flight_status string, arrival_delay_min double, pax_flown double, "
+        "load_factor_pct double, fuel_consumed_kg double, fuel_efficiency_l_per_100km double"
+    )
+    return Definition("flight_event_key", "flight_date_key", base, details, {
+        "weighted": every, "cancelled": F.when(F.col("flight_status") == "CANCELLED", every),
+        "on_time": F.when(F.col("arrival_delay_min") <= 15, every), **measured, **counted,
+        **{n: of(n, "booking") for n in ("amount", "ancillary")}, "cost": of("cost", "delay"),
+        **{n: of(n, "feedback") for n in ("nps_sum", "npss", "score_sum", "scores", "critical")},
+    })
+
+
+def daily_kpi_shown(view: DataFrame) -> DataFrame:
+    """The columns of ``daily_kpi`` from the sums of its definition."""
+    def per(total: str, count: str) -> Column:
+        return F.col(total) / F.nullif(F.col(count), F.lit(0.0))
+
+    whole = lambda c: F.coalesce(F.col(c), F.lit(0.0)).cast("decimal(38,0)")
+    return view.select(
+        key_to_date(F.col("flight_date_key")).alias("report_date"), F.col("rows").alias("total_flights"),
+        whole("cancelled").alias("cancelled_flights"),
+        (F.coalesce("on_time", F.lit(0.0)) * 100.0 / F.nullif(F.col("weighted"), F.lit(0.0))).alias("otp_pct"),
+        per("arrival_delay_min", "arrival_delay_min_count").alias("avg_delay_min"), F.col("pax_flown").alias("total_passengers"),
+        per("load_factor_pct", "load_factor_pct_count").alias("avg_load_factor"), F.col("amount").alias("total_revenue"),
+        F.col("ancillary").alias("total_ancillary_revenue"), F.col("cost").alias("total_delay_cost"),
+        per("nps_sum", "npss").alias("avg_nps"), per("score_sum", "scores").alias("avg_sentiment"),
+        whole("critical").alias("critical_feedback_count"), F.col("fuel_consumed_kg").alias("total_fuel_kg"),
+        per("fuel_efficiency_l_per_100km", "fuel_efficiency_l_per_100km_count").alias("avg_fuel_efficiency"),
+    )

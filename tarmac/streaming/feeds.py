@@ -19,13 +19,16 @@ from tarmac.functions.conditions import action_required, feedback_priority, sent
 from tarmac.functions.dates import date_key
 from tarmac.functions.text import sentiment, summarise
 from tarmac.operators.joins import current_rows, unique_lookup
+from tarmac.operators.ranges import stored
 from tarmac.operators.upsert import latest_per_key, merge_changes, merge_update_only, with_keys
 from tarmac.schemas import struct
 from tarmac.sources.raw import json_landing, payload
+from tarmac.streaming.keyed import KeyedState
 from tarmac.tables import Tables
 
 BatchFn = Callable[[DataFrame, int], None]
 BASE_BATCH = -1
+DAYS_LISTED = 366  # days of a batch that a scan is given one by one
 
 # Payload fields and their types.
 BOOKING_FIELDS = {
@@ -150,6 +153,20 @@ def state_of(
     return latest_per_key(touched, keys, ["batch_id"]).drop("batch_id")
 
 
+def write_changes(
+    changes: DataFrame, log: str, batch_id: int, keyed: KeyedState | None, schema: T.StructType, partition_by: Sequence[str] = ()
+) -> None:
+    """Append a batch's changes to the log, and to the keyed state if there is one.
+
+    The state takes the rows as they stand in the log. A replay of a batch that ended between
+    the two writes finds the state as it was before the batch, and repeats both.
+    """
+    write_batch(changes, log, batch_id, partition_by)
+    if keyed:
+        spark = changes.sparkSession
+        keyed.write(read_log(spark, log, schema).filter(F.col("batch_id") == batch_id).drop("batch_id"), batch_id)
+
+
 def parse_bookings(raw: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Typed booking messages (``extra``: columns of the raw rows to carry along)."""
     rows = raw.select("ingest_timestamp", *extra, *payload("raw_data", BOOKING_FIELDS))
@@ -176,20 +193,26 @@ def resolve_bookings(rows: DataFrame, t: Tables, cabins: DataFrame) -> DataFrame
 
 
 def merge_bookings(
-    spark: SparkSession, source: DataFrame, log: str, batch_id: int, order: Sequence[str] = ("ingest_timestamp",)
+    spark: SparkSession, source: DataFrame, log: str, batch_id: int, order: Sequence[str] = ("ingest_timestamp",),
+    keyed: KeyedState | None = None,
 ) -> None:
-    """Upsert resolved bookings: append the inserted and status-changed rows to the log."""
-    keyed = with_keys(source, BOOKING_KEY).withColumn("created_at", F.col("ingest_timestamp"))
+    """Upsert resolved bookings: append the inserted and status-changed rows to the log.
+
+    With a ``keyed`` state beside the log, the batch opens the few files that can hold its
+    keys; without one it reads the whole log for them.
+    """
+    rows = with_keys(source, BOOKING_KEY).withColumn("created_at", F.col("ingest_timestamp"))
     # reduced before it is used twice: the state needs the batch's keys, the merge its rows
-    keyed = latest_per_key(keyed, BOOKING_KEY, order).persist()
+    rows = latest_per_key(rows, BOOKING_KEY, order).persist()
     try:
-        state = state_of(spark, log, BOOKING_FACT, BOOKING_KEY, keyed.select(*BOOKING_KEY), batch_id)
+        asked = rows.select(*BOOKING_KEY)
+        state = keyed.lookup(asked, batch_id) if keyed else state_of(spark, log, BOOKING_FACT, BOOKING_KEY, asked, batch_id)
         changes = merge_changes(
-            state, keyed, BOOKING_KEY, "booking_status", "updated_at", F.col("s.ingest_timestamp"), order, BOOKING_DEFAULTS
+            state, rows, BOOKING_KEY, "booking_status", "updated_at", F.col("s.ingest_timestamp"), order, BOOKING_DEFAULTS
         )
-        write_batch(changes, log, batch_id)
+        write_changes(changes, log, batch_id, keyed, BOOKING_FACT)
     finally:
-        keyed.unpersist()
+        rows.unpersist()
 
 
 def bookings_batch(spark: SparkSession, t: Tables, cabins: DataFrame, log: str) -> BatchFn:
@@ -231,37 +254,45 @@ def apply_flight_updates(target: DataFrame, updates: DataFrame, order: Sequence[
 
 
 def on_days_of(log_rows: DataFrame, batch: DataFrame, day: str) -> DataFrame:
-    """Log rows between the first and the last day that a batch names.
+    """Log rows on the days that a batch names.
 
-    Two numbers of one aggregate become constants, so the scan leaves out the
-    partitions of other days; the join that follows picks the rows.
+    The days become constants, so the scan leaves out the partitions of other days; the
+    join that follows picks the rows. Up to ``DAYS_LISTED`` days are listed, so that one
+    mistyped year does not open the whole log; of more the first and the last are taken.
     """
+    days = [r[0] for r in batch.select(day).filter(F.col(day).isNotNull()).distinct().limit(DAYS_LISTED + 1).collect()]
+    if len(days) <= DAYS_LISTED:
+        return log_rows.filter(F.col(day).isNotNull() & F.col(day).isin(sorted(days)))
     span = batch.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
     return log_rows.filter(F.col(day).between(span["first"], span["last"]))
 
 
 def merge_flights(
     spark: SparkSession, updates: DataFrame, log: str, schema: T.StructType, batch_id: int,
-    order: Sequence[str] = ("ingest_timestamp",), partition_by: Sequence[str] = (),
+    order: Sequence[str] = ("ingest_timestamp",), partition_by: Sequence[str] = (), keyed: KeyedState | None = None,
 ) -> None:
     """Append new versions of the flights the messages name; unknown flights are dropped.
 
     Two flights may share a message key, so versions are told apart by the
     flight's own key. With a log partitioned by flight date (``partition_by``) a
-    batch reads only the days it names.
+    batch reads only the days it names; with a ``keyed`` state (its version key is
+    ``flight_event_key``) only the files that can hold the flights it names.
     """
     # parsed once: the days, the named flights and the merge all read it
-    keyed = latest_per_key(with_keys(updates, FLIGHT_KEY), FLIGHT_KEY, order).persist()
+    rows = latest_per_key(with_keys(updates, FLIGHT_KEY), FLIGHT_KEY, order).persist()
     try:
-        named = keyed.select(*FLIGHT_KEY)
-        past = read_log(spark, log, schema, batch_id)
-        if partition_by:
-            past = on_days_of(past, named, "flight_date_key")
-        touched = past.join(named, FLIGHT_KEY, "left_semi")
-        state = latest_per_key(touched, ["flight_event_key"], ["batch_id"]).drop("batch_id")
-        write_batch(apply_flight_updates(state, keyed, order), log, batch_id, partition_by)
+        named = rows.select(*FLIGHT_KEY)
+        if keyed:
+            state = keyed.lookup(named, batch_id)
+        else:
+            past = read_log(spark, log, schema, batch_id)
+            if partition_by:
+                past = on_days_of(past, named, "flight_date_key")
+            touched = past.join(named, FLIGHT_KEY, "left_semi")
+            state = latest_per_key(touched, ["flight_event_key"], ["batch_id"]).drop("batch_id")
+        write_changes(apply_flight_updates(state, rows, order), log, batch_id, keyed, schema, partition_by)
     finally:
-        keyed.unpersist()
+        rows.unpersist()
 
 
 def flights_batch(
@@ -282,19 +313,19 @@ def stream_flights(
     return start_batches(raw, flights_batch(spark, log, schema, partition_by), checkpoint, every)
 
 
-def enrich_feedback(raw: DataFrame, passenger: DataFrame, stamp: bool = True) -> DataFrame:
+def enrich_feedback(raw: DataFrame, passenger: DataFrame, stamp: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """Raw feedback to fact rows: passenger, score, label, summary, action, priority.
 
     A plain stream-static join plus row expressions, so it is the same for batch
     and stream. ``stamp`` sets processed_at, so that the batch enrichment does
-    not score the row again.
+    not score the row again. ``keep`` names columns of the raw rows to carry along.
     """
-    rows = raw.select("ingest_timestamp", *payload("raw_data", FEEDBACK_FIELDS))
+    rows = raw.select("ingest_timestamp", *keep, *payload("raw_data", FEEDBACK_FIELDS))
     members = current_rows(passenger).select("passenger_id", "passenger_key")
     scored = rows.join(members, "passenger_id", "left").withColumn("score", sentiment(F.col("feedback_text")))
     score = F.col("score")
     return scored.select(
-        "passenger_key", date_key(F.col("flight_date")).alias("flight_date_key"),
+        *keep, "passenger_key", date_key(F.col("flight_date")).alias("flight_date_key"),
         F.col("channel").alias("feedback_channel"), F.col("ingest_timestamp").alias("feedback_timestamp"),
         "feedback_text", F.col("subject").alias("feedback_subject"), "nps_score", "overall_rating",
         score.alias("sentiment_score"), sentiment_label(score).alias("sentiment_label"),
@@ -336,16 +367,21 @@ def delay_alert_rows(delays: DataFrame, flights: DataFrame, at: str) -> DataFram
 
 
 def delay_alerts_batch(
-    spark: SparkSession, flights: DataFrame, log: str, at: str, once: bool = True
+    spark: SparkSession, flights: DataFrame, log: str, at: str, once: bool = True, keyed: KeyedState | None = None
 ) -> BatchFn:
-    """Alert rows of a batch of delay changes; ``once`` alerts a delay key a single time."""
+    """Alert rows of a batch of delay changes; ``once`` alerts a delay key a single time.
+
+    With a ``keyed`` state (by ``delay_key``) the batch asks it for its own keys instead of
+    reading all alerts.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         rows = delay_alert_rows(batch, flights, at)
         if once:
-            known = read_log(spark, log, ALERT_LOG, batch_id).select("delay_key")
-            rows = latest_per_key(rows, ["delay_key"], ["created_at"]).join(known, "delay_key", "left_anti")
-        write_batch(rows.select(*ALERT_LOG.fieldNames()), log, batch_id)
+            rows = latest_per_key(rows, ["delay_key"], ["created_at"])
+            known = keyed.lookup(rows, batch_id) if keyed else read_log(spark, log, ALERT_LOG, batch_id)
+            rows = rows.join(known.select("delay_key"), "delay_key", "left_anti")
+        write_changes(rows.select(*ALERT_LOG.fieldNames()), log, batch_id, keyed, ALERT_LOG)
 
     return run
 
@@ -378,22 +414,35 @@ def gold_refresh_batch(
 
     ``unit`` is the column of the batch that names them, ``partition`` that of the
     gold table. Choose a unit whose partition is worth a file: a table of one row
-    a day is kept by month.
+    a day is kept by month. The partition of a unit that comes out empty is deleted.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        (
-            recompute(batch.select(unit).distinct())
-            .hint("rebalance", F.col(partition))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition)
-            .parquet(gold_path)
-        )
+        touched = batch.select(F.col(unit).alias(partition)).distinct()
+        replace_partitions(recompute(batch.select(unit).distinct()), touched, gold_path, partition)
 
     return run
 
 
+def replace_partitions(rows: DataFrame, touched: DataFrame, table_path: str, partition: str) -> None:
+    """Make ``rows`` the content of the partitions that ``touched`` names, and delete those without a row.
+
+    Running it again with the same rows changes nothing, so a batch that fails between the
+    two steps is put right by its replay. What is collected is at most one value a partition.
+    """
+    fresh = stored(rows)
+    (
+        fresh.hint("rebalance", F.col(partition))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(table_path)
+    )
+    spark = rows.sparkSession
+    store = spark._jvm.org.apache.hadoop.fs.Path(table_path).getFileSystem(spark._jsc.hadoopConfiguration())
+    folder = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    gone = touched.join(fresh.select(partition).distinct(), partition, "left_anti").select(F.col(partition).cast("string"))
+    for (value,) in gone.filter(F.col(partition).isNotNull()).collect():
+        store.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{table_path}/{folder(partition, value)}"), True)
+
+
 def gold_refresh(
     changes: DataFrame, recompute: Callable[[DataFrame], DataFrame], unit: str, gold_path: str,
     partition: str, checkpoint: str, every: str | None = None,
