@@ -172,30 +172,35 @@ def search(rows: DataFrame, is_query: Column, k: int, shard_rows: int = SHARD_RO
     """query_id, rank, vec_id and score of the ``k`` best rows found for each row where ``is_query``."""
     spark = rows.sparkSession
     ship(spark)
-    valid = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
-    valid = valid.filter(F.col("vec_id").isNotNull() & _whole(F.col("embedding"))).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    same = Window.partitionBy("embedding").orderBy("vec_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = valid.withColumn("n", F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))).filter(F.col("n") <= k + 1)
-    members = stored(ranked.withColumn("node", F.first("vec_id").over(same)))
-    nodes = members.filter("n = 1").select("node", "embedding", F.size("embedding").alias("dim"))
+    kind = rows.schema["embedding"].dataType.elementType.simpleString()
+    kind = "float" if kind == "float" else "double"  # scores are of the original vectors
+    valid = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
+    valid = valid.filter(F.col("vec_id").isNotNull() & _whole(F.col("embedding")))
+    # A row has a key of its own, as several may have one vec_id; the stored table fixes it.
+    valid = stored(valid.withColumn("row", F.monotonically_increasing_id()))
+    order = Window.partitionBy("embedding").orderBy("vec_id", "row")
+    ranked = valid.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1)
+    first = Window.partitionBy("embedding").orderBy("vec_id", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    members = stored(ranked.withColumn("node", F.first("row").over(first)))
+    nodes = members.filter("n = 1").select("node", F.col("vec_id").alias("least"), "embedding", F.size("embedding").alias("dim"))
     shards = max(1, math.ceil(nodes.count() / shard_rows))
     index = stored(_index(nodes.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int"))))
 
-    asked = valid.filter(is_query).withColumnRenamed("vec_id", "query_id")
-    asked = stored(asked.join(nodes, "embedding").select("query_id", F.col("node").alias("of")))
+    asked = valid.filter(is_query).select(F.col("vec_id").alias("query_id"), F.col("row").alias("query_row"), "embedding")
+    asked = stored(asked.join(nodes, "embedding").select("query_id", "query_row", F.col("node").alias("of")))
     named = asked.select("of").distinct()
     blocks = max(1, math.ceil(named.count() / block_queries))
     questions = nodes.join(named, nodes["node"] == named["of"], "left_semi").withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.lit(blocks)).cast("int"))
     found = stored(_visit(index, questions, shards, blocks, k + 1))
 
     # The best k + 1 nodes, then the best k + 1 of their members, then each query's own k.
-    best = Window.partitionBy("of").orderBy(F.desc("score"), "node")
+    best = Window.partitionBy("of").orderBy(F.desc("score"), "least", "node")
     top = found.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1).select("of", "node", "score")
-    listed = top.join(members.select("node", "vec_id"), "node")
-    best = Window.partitionBy("of").orderBy(F.desc("score"), "vec_id")
-    listed = listed.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1).select("of", "vec_id", "score")
-    answers = asked.join(listed, "of").filter("vec_id <> query_id")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    listed = top.join(members.select("node", "vec_id", "row"), "node")
+    best = Window.partitionBy("of").orderBy(F.desc("score"), "vec_id", "row")
+    listed = listed.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1).select("of", "vec_id", "row", "score")
+    answers = asked.join(listed, "of").filter("row <> query_row")
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     answers = answers.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return answers.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
@@ -208,7 +213,8 @@ def _index(nodes: DataFrame) -> DataFrame:
         vectors = _matrix(group.column("embedding"))
         order, edges = build(vectors)
         file = io.BytesIO()
-        np.savez(file, node=group.column("node").to_numpy()[order], vectors=vectors[order], edges=edges)
+        names = {c: group.column(c).to_numpy()[order] for c in ("node", "least")}
+        np.savez(file, vectors=vectors[order], edges=edges, **names)
         return pa.table({"dim": group.column("dim")[:1], "shard": group.column("shard")[:1], "graph": pa.array([file.getvalue()], pa.binary())})
 
     return nodes.groupBy("dim", "shard").applyInArrow(run, "dim int, shard int, graph binary")
@@ -218,25 +224,25 @@ def _visit(index: DataFrame, questions: DataFrame, shards: int, blocks: int, k:
     """The ``k`` best nodes of every shard for every question, scored in double precision."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = {"of": np.zeros(0, np.int64), "node": np.zeros(0, np.int64), "score": np.zeros(0)}
+        out = {"of": np.zeros(0, np.int64), "node": np.zeros(0, np.int64), "least": np.zeros(0, np.int64), "score": np.zeros(0)}
         if len(left) and len(right):
             held = np.load(io.BytesIO(left.column("graph")[0].as_py()))
-            vectors, names = held["vectors"], held["node"]
+            vectors, names, least = held["vectors"], held["node"], held["least"]
             graph = Graph(lengthened(vectors), held["edges"])
             of, asked = right.column("node").to_numpy(), _matrix(right.column("embedding"))
             for at in range(0, len(of), BATCH):
                 part = asked[at : at + BATCH]
-                ids, _ = graph.beam(np.concatenate([part, np.zeros((len(part), 1), np.float32)], axis=1), max(SEARCH_BEAM, k))
+                ids, _ = graph.beam(np.concatenate([part.astype(np.float32), np.zeros((len(part), 1), np.float32)], axis=1), max(SEARCH_BEAM, k))
                 score = np.einsum("bld,bd->bl", vectors[ids].astype(np.float64), part.astype(np.float64))
                 score[ids < 0] = -np.inf
-                order = np.lexsort((names[ids], -score), axis=1)[:, :k]
+                order = np.lexsort((names[ids], least[ids], -score), axis=1)[:, :k]
                 rows = np.arange(len(part))[:, None]
                 keep = ids[rows, order] >= 0
-                parts = {"of": np.repeat(of[at : at + BATCH], keep.sum(axis=1)), "node": names[ids[rows, order]][keep], "score": score[rows, order][keep]}
+                parts = {"of": np.repeat(of[at : at + BATCH], keep.sum(axis=1)), "node": names[ids[rows, order]][keep], "least": least[ids[rows, order]][keep], "score": score[rows, order][keep]}
                 out = {c: np.concatenate([v, parts[c]]) for c, v in out.items()}
         return pa.table(out)
 
     graphs = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = questions.select("dim", "block", "node", "embedding", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
     keys = ["dim", "shard", "block"]
-    return graphs.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(run, "of long, node long, score double")
+    return graphs.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(run, "of long, node long, least long, score double")

@@ -9,7 +9,8 @@ zero; a temperature fitted on rows kept out of the fit calibrates the probabilit
 Nulls and edge cases: a null text, or one without a letter, is ``und`` with score 0; rows with a
 null language or text teach nothing; with no training row every text is ``und``; repeated rows
 count as often as they occur in the frequencies, and one row of an id in the fit; rows are
-neither moved nor dropped.
+neither moved nor dropped. Every language with a training row is learned; the more there are, the
+fewer rows of each are fitted, and the model grows by 128 KB a language.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from tarmac.llm.common import annotate, fresh, remainder, ship
 
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
-SAMPLE_PER_LANGUAGE = 600  # expected rows of a language in the fitting sample; the bound of the fit
-LANGUAGES = 200  # the most frequent ones are learned
+SAMPLE_PER_LANGUAGE = 600  # expected rows of a language in the fitting sample
+SAMPLE_ROWS = 6_000  # expected rows of all languages in it, the bound of the fit; every language keeps LEAST_ROWS
+LEAST_ROWS = 8
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.05
 CALIBRATED = 5  # one sampled row in so many is kept out of the fit for the temperature
@@ -174,18 +176,19 @@ def _frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
 def train(docs: DataFrame, sample: int = SAMPLE_PER_LANGUAGE) -> Model:
     """Fit on the text and lang of documents that are not held out.
 
-    Rows are sampled by a hash of the id at a rate that expects ``sample`` rows of a
-    language; one row of an id is taken, so that a repeated or null id cannot swell the
+    Rows are sampled by a hash of the id at a rate that expects ``sample`` rows of a language,
+    and fewer where there are so many that ``SAMPLE_ROWS`` would be passed; one row of an id is taken, so that a repeated or null id cannot swell the
     sample. Their sparse counts, not their texts, come to the driver.
     """
     ship(docs.sparkSession)
     known = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter(
         (remainder(F.col("doc_id"), 4) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
-    per_language = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    per_language = known.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row a language
     languages = sorted(r["lang"] for r in per_language)
     if not languages:
         return Model([], np.zeros(BUCKETS), np.zeros((0, BUCKETS)), np.zeros(0))
+    sample = min(sample, max(LEAST_ROWS, SAMPLE_ROWS // len(languages)))
     total, df = _frequencies(known.select("text"))
     idf = np.log((1 + total) / (1 + df)) + 1
     rate = F.create_map(*[x for r in per_language for x in (F.lit(r["lang"]), F.lit(min(1.0, sample / r["n"])))])

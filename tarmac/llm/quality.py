@@ -1,11 +1,13 @@
 """Quality classifier: supervised subword embeddings, averaged per document, with a softmax.
 
 The features of a text are its words, its pairs of neighbouring words (a word said twice in a
-row is one feature of its own) and its byte n-grams of 3 to 5, hashed into ``BUCKETS`` vectors.
+row is one feature of its own) and its n-grams of 3 to 5 characters, hashed into ``BUCKETS`` vectors.
 Their mean goes through a linear layer and a softmax; vectors and layer are learned together by
 numpy stochastic gradient descent on a bounded sample of labelled rows of each class. The sample
 holds the classes in equal parts, so the bias is set back to the shares of all labelled rows.
-As the layer is linear, a feature's vector and the layer collapse to one number for scoring.
+As the layer is linear, a feature's vector and the layer collapse to one number for scoring. A
+step of the vectors is the gradient of the row's log loss times the number of the row's features,
+so that long texts teach as much as short ones; a feature's part of it is cut at four times the mean.
 
 Nulls and edge cases: a null or empty text has no features and scores the bias alone; rows with
 no label or a null one teach nothing, nor does a document whose labels contradict each other;
@@ -41,22 +43,22 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(40)) & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
-def _slices(raw: bytes) -> Iterator[bytes]:
-    """Parts of at most about TEXT_AT_ONCE bytes, cut at white space where there is some."""
+def _slices(text: str) -> Iterator[str]:
+    """Parts of at most TEXT_AT_ONCE characters, cut at white space where there is some."""
     at = 0
-    while at < len(raw):
-        stop = min(len(raw), at + TEXT_AT_ONCE)
-        if stop < len(raw):
-            cut = max(raw.rfind(b" ", at, stop), raw.rfind(b"\n", at, stop))
+    while at < len(text):
+        stop = min(len(text), at + TEXT_AT_ONCE)
+        if stop < len(text):
+            cut = max(text.rfind(" ", at, stop), text.rfind("\n", at, stop))
             stop = cut + 1 if cut > at else stop
-        yield raw[at:stop]
+        yield text[at:stop]
         at = stop
 
 
 def features(text: str | None) -> Iterator[np.ndarray]:
     """Bucket numbers of the text's features, in parts of bounded size."""
-    for part in _slices((text or "").encode()):
-        data = np.frombuffer(b" " + part + b" ", np.uint8)
+    for part in _slices(text or ""):
+        data = np.frombuffer(f" {part} ".encode("utf-32-le", "surrogatepass"), "<u4")
         wide = data.astype(np.uint64) + np.uint64(1)
         for n in NGRAMS:
             if len(wide) >= n:
@@ -64,11 +66,11 @@ def features(text: str | None) -> Iterator[np.ndarray]:
                 for i in range(n):
                     mixed = mixed * _PRIME + wide[i : len(wide) - n + 1 + i]
                 yield _mix(mixed)
-        white = _WHITE[data]
+        white = _WHITE[np.minimum(data, len(_WHITE) - 1)]
         begin = np.flatnonzero(white[:-1] & ~white[1:]) + 1
         end = np.flatnonzero(~white[:-1] & white[1:]) + 1
         if len(begin):
-            # A word's hash is the sum of its bytes' mixed codes by place, from running sums.
+            # A word's hash is the sum of its characters' mixed codes by place, from running sums.
             place = np.arange(len(data), dtype=np.int64) - np.repeat(np.append(0, begin), np.diff(np.concatenate([[0], begin, [len(data)]])))
             codes = (wide * np.uint64(0x9E3779B97F4A7C15)) ^ ((place.astype(np.uint64) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F))
             codes = codes * _PRIME ^ (codes >> np.uint64(29))
@@ -144,7 +146,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_PER_CLASS) ->
                     found += np.bincount(part, minlength=BUCKETS)
                 out.append(found)
             at = [np.flatnonzero(f) for f in out]
-            return [[a.astype("<u2").tobytes() for a in at], [np.minimum(f[a], 65535).astype("<u2").tobytes() for f, a in zip(out, at, strict=True)]]
+            return [[a.astype("<u2").tobytes() for a in at], [f[a].astype("<u4").tobytes() for f, a in zip(out, at, strict=True)]]
 
         return score
 
@@ -152,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_PER_CLASS) ->
     taken = taken.groupBy("doc_id").agg(F.min(F.struct("__label", "at", "n")).alias("row")).select("doc_id", "row.*").collect()
     rows = []
     for row in sorted(taken, key=lambda r: (r["doc_id"], bytes(r["at"]))):
-        n = np.frombuffer(row["n"], "<u2").astype(float)
+        n = np.frombuffer(row["n"], "<u4").astype(float)
         rows.append((np.frombuffer(row["at"], "<u2").astype(np.int64), n / n.sum(), row["__label"]))
     vectors, layer, bias = fit_sgd(rows)
     drawn = {c: max(1, sum(r[2] == c for r in rows)) for c in (0, 1)}

@@ -1,16 +1,20 @@
 """Sharding by a hierarchical weighted hash tree of regions, racks and shards.
 
-A row's draw at a shard is -ln(u) / weight, u from a hash of the row's id and the shard's name.
-A rack's draw is the least of its shards' draws and a region's the least of its racks': the
-least of exponential draws is itself exponential with the summed weight, so every level chooses
-by subtree weight. A row descends region, rack, shard along the least draws. A new shard
-changes the draws of its own rack and region alone, and only by a lower one of its own: rows
-move into the new shard and nowhere else. (Independent draws per level would also move rows
-into the older shards of the region that grew.)
+A row goes down the tree level by level. At a node each child draws -ln(u) / weight, with u from a
+hash of the row's id and the child's name and with the summed weight of the child's subtree; the
+least draw is followed and the others' subtrees are not opened, so a row costs one hash for each
+child on its path: 2 regions, 2 racks and 4 shards are 8 hashes for 16 shards.
+
+Where a weight changes, the draws of that shard and of the nodes above it change and no others:
+rows move into or out of those nodes only, and what stays in another subtree stays where it is. A
+shard more opens a region of its own (``grown``), which changes no weight that was there, so rows
+move into the new shard and nowhere else. A shard put into an existing rack also draws rows into
+its older neighbours, as that rack and region then weigh more.
 
 Only DataFrame functions are used. Nulls and edge cases: a null text has no bytes (size 1) and
 the crc32 of the empty text; a null doc_id is drawn by the text of null, "null"; equal ids go
-to one shard; repeated rows get different slots; an empty table gives no rows.
+to one shard; repeated rows get different slots; an empty table gives no rows; children of weight
+0 take no row.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from tarmac.llm.common import fresh
 from tarmac.operators.ranges import stored
 
 RACK_SHARDS, REGION_RACKS = 4, 2
@@ -44,28 +49,37 @@ def unit(hashed: Column) -> Column:
     return (F.shiftrightunsigned(hashed, 11).cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
 
 
-def _descend(key: Column, tree: Tree) -> Column:
-    """The shard at the end of the path of least draws."""
+def grown(tree: Tree, shard: int, weight: float = 1.0) -> Tree:
+    """The tree with one more shard, in a region of its own."""
+    return [*tree, [[(shard, weight)]]]
+
+
+def _least(key: Column, place: Column, weights: Column) -> Column:
+    """Which child of the node named by ``place`` a key follows: that of the least draw."""
 
-    def least(children: list[Column]) -> Column:
-        return F.array_min(F.array(*children))
+    def draw(weight: Column, child: Column) -> Column:
+        name = F.concat(key, F.lit(":"), place, F.lit("."), child.cast("string"))
+        return F.when(weight > 0, F.struct((-F.log(unit(F.xxhash64(name))) / weight).alias("draw"), child.alias("child")))
 
-    def shard(number: int, weight: float) -> Column:
-        draw = -F.log(unit(F.xxhash64(F.concat(key, F.lit(f":shard-{number}"))))) / F.lit(weight)
-        return F.struct(draw.alias("draw"), F.lit(number).alias("shard"))
+    return F.array_min(F.transform(weights, draw))["child"]
 
-    def node(place: int, child: Column) -> Column:
-        return F.struct(child["draw"].alias("draw"), F.lit(place).alias("place"), child["shard"].alias("shard"))
 
-    regions = []
-    for r, racks in enumerate(tree):
-        in_region = [node(k, least([shard(*leaf) for leaf in leaves if leaf[1] > 0])) for k, leaves in enumerate(racks) if any(w > 0 for _, w in leaves)]
-        if in_region:
-            regions.append(node(r, least(in_region)))
-    return least(regions)["shard"]
+def _descend(rows: DataFrame, key: Column, tree: Tree, name: str) -> DataFrame:
+    """The rows with the shard at the end of their path, as column ``name``."""
+    nested = lambda values, deep: F.array(*[nested(v, deep - 1) for v in values]) if deep else F.lit(values)
+    racks = [[sum(w for _, w in rack) for rack in region] for region in tree]
+    place, region, rack = (fresh(rows, f"__{n}") for n in ("at", "region", "rack"))
+    rows = rows.withColumn(region, _least(key, F.lit("tree"), nested([float(sum(r)) for r in racks], 1)))
+    within = nested([[float(w) for w in r] for r in racks], 2)
+    rows = rows.withColumn(rack, _least(key, F.col(region).cast("string"), within[F.col(region)]))
+    path = F.concat_ws(".", F.col(region).cast("string"), F.col(rack).cast("string"))
+    within = nested([[[float(w) for _, w in k] for k in r] for r in tree], 3)
+    rows = rows.withColumn(place, _least(key, path, within[F.col(region)][F.col(rack)]))
+    numbers = nested([[[s for s, _ in k] for k in r] for r in tree], 3)
+    return rows.withColumn(name, numbers[F.col(region)][F.col(rack)][F.col(place)].cast("int")).drop(region, rack, place)
 
 
-def assign(docs: DataFrame, tree: Tree, grown: Tree, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def assign(docs: DataFrame, tree: Tree, later: Tree, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard of every row.
 
     ``slot`` counts from 0 without gaps in each shard, in the order of a hash of the row's id
@@ -76,14 +90,13 @@ def assign(docs: DataFrame, tree: Tree, grown: Tree, doc_id: str = "doc_id", tex
     key = F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
     body = F.coalesce(F.col(text), F.lit(""))
     placed = docs.select(
-        F.col(doc_id).alias("doc_id"),
+        F.col(doc_id).alias("doc_id"), key.alias("key"),
         (F.octet_length(body) + 1).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"),
-        _descend(key, tree).cast("int").alias("shard"),
-        _descend(key, grown).cast("int").alias("grown_shard"),
         F.monotonically_increasing_id().alias("place"),
     )
-    rows = stored(placed)
+    placed = _descend(_descend(placed, F.col("key"), tree, "shard"), F.col("key"), later, "grown_shard")
+    rows = stored(placed.drop("key"))
     runs = max(1, math.ceil(rows.count() / RUN_ROWS))
     rows = rows.withColumn("u", unit(F.xxhash64("doc_id", "place"))).withColumn("run", F.floor(F.col("u") * runs))
     sizes = rows.groupBy("shard", "run").agg(F.count("*").alias("n"))
@@ -97,4 +110,5 @@ def assign(docs: DataFrame, tree: Tree, grown: Tree, doc_id: str = "doc_id", tex
 
 def shard_by_key(docs: DataFrame, shards: int = 16) -> DataFrame:
     """Every row's place among ``shards`` equal shards, and where it would be with one more."""
-    return assign(docs, topology(shards), topology(shards + 1))
+    tree = topology(shards)
+    return assign(docs, tree, grown(tree, shards))

@@ -133,15 +133,30 @@ def test_bpe_rows(frame, cluttered, library):
 
 # Sharding
 
+def plain_descent(key, tree):
+    """The shard at the end of a key's path, and how many draws it took."""
+    def least(place, weights):
+        draws = []
+        for child, weight in enumerate(weights):
+            if weight > 0:
+                u = ((xxhash.xxh64_intdigest(f"{key}:{place}.{child}", seed=42) >> 11) + 0.5) / 2**53
+                draws.append((-math.log(u) / weight, child))
+        return min(draws)[1], len(draws)
+
+    region, a = least("tree", [sum(w for rack in r for _, w in rack) for r in tree])
+    rack, b = least(region, [sum(w for _, w in k) for k in tree[region]])
+    leaf, c = least(f"{region}.{rack}", [w for _, w in tree[region][rack]])
+    return tree[region][rack][leaf][0], a + b + c
+
+
 def plain_shard(key, shards):
-    """The least of all leaves' draws, which is where the descent ends."""
-    def draw(s):
-        u = ((xxhash.xxh64_intdigest(f"{key}:shard-{s}", seed=42) >> 11) + 0.5) / 2**53
-        return -math.log(u), s
-    regions = [[list(range(k, min(k + 4, shards))) for k in range(r, min(r + 8, shards), 4)] for r in range(0, shards, 8)]
-    region = min(regions, key=lambda racks: min(draw(s) for rack in racks for s in rack))
-    rack = min(region, key=lambda leaves: min(map(draw, leaves)))
-    return min(map(draw, rack))[1]
+    tree = sharding.topology(16)
+    return plain_descent(key, tree if shards == 16 else sharding.grown(tree, 16))[0]
+
+
+def placed(spark, tree, n=6000):
+    rows = spark.range(n).select(F.col("id").cast("string").alias("k"))
+    return [r.s for r in sharding._descend(rows, F.col("k"), tree, "s").orderBy(F.col("k").cast("long")).collect()]
 
 
 def test_shards_equal_the_plain_descent(frame, cluttered):
@@ -169,20 +184,38 @@ def test_slots_are_gapless_over_many_runs(spark, monkeypatch):
 
 @pytest.mark.parametrize("shards", [1, 3, 4, 8, 16, 17, 21])
 def test_growth_moves_rows_into_the_new_shard_alone(spark, shards):
-    keys = spark.range(3000).select(F.col("id").cast("string").alias("k"))
-    now, more = sharding._descend(F.col("k"), sharding.topology(shards)), sharding._descend(F.col("k"), sharding.topology(shards + 1))
-    rows = keys.select(now.alias("a"), more.alias("b")).collect()
-    moved = [r for r in rows if r.a != r.b]
-    assert all(r.b == shards for r in moved) and abs(len(moved) / 3000 - 1 / (shards + 1)) < 0.05
-
-
-def test_weights_set_the_shares_and_confine_movement(spark):
-    keys = spark.range(6000).select(F.col("id").cast("string").alias("k"))
-    heavy = sharding.topology(8, {2: 3.0})
-    a, b = sharding._descend(F.col("k"), sharding.topology(8)), sharding._descend(F.col("k"), heavy)
-    rows = keys.select(a.alias("a"), b.alias("b")).collect()
-    assert all(r.b == 2 for r in rows if r.a != r.b)
-    assert abs(sum(r.b == 2 for r in rows) / 6000 - 0.3) < 0.03
+    tree = sharding.topology(shards)
+    for new in (shards, shards + 1):
+        later = sharding.grown(tree, new)
+        now, then = placed(spark, tree, 3000), placed(spark, later, 3000)
+        moved = [b for a, b in zip(now, then) if a != b]
+        assert set(moved) == {new} and abs(len(moved) / 3000 - 1 / (new + 1)) < 0.05
+        tree = later
+
+
+def test_weights_set_the_shares_and_movement_is_confined_to_their_subtrees(spark):
+    tree, heavy = sharding.topology(16), sharding.topology(16, {2: 5.0})  # region 0, rack 0
+    now, then = placed(spark, tree), placed(spark, heavy)
+    assert abs(then.count(2) / 6000 - 5 / 20) < 0.03
+    moved = [(a, b) for a, b in zip(now, then) if a != b]
+    # into the region from outside it, into the rack from inside the region, into the shard from inside the rack
+    for a, b in moved:
+        assert b < 8 if a >= 8 else b < 4 if a >= 4 else b == 2
+    assert any(a >= 8 for a, _ in moved) and any(4 <= a < 8 for a, _ in moved) and any(a < 4 for a, _ in moved)
+    assert all(b < 8 for _, b in moved)
+
+
+def test_the_tree_decides_and_a_row_costs_the_children_on_its_path(spark):
+    trees = {(4, 2): 2 + 2 + 4, (16, 1): 1 + 1 + 16, (1, 4): 4 + 4 + 1}
+    found = []
+    for (rack, region), hashes in trees.items():
+        tree = sharding.topology(16, rack_shards=rack, region_racks=region)
+        found.append(placed(spark, tree, 1000))
+        plain = [plain_descent(i, tree) for i in range(1000)]
+        assert found[-1] == [s for s, _ in plain] and {n for _, n in plain} == {hashes}
+    assert found[0] != found[1] != found[2] != found[0]
+    empty = sharding.topology(4, {0: 0.0, 3: 2.0})
+    assert set(placed(spark, empty, 500)) == {1, 2, 3}
 
 
 def test_sharding_plan_has_no_python(spark):
@@ -194,17 +227,23 @@ def test_sharding_plan_has_no_python(spark):
 # Nearest neighbours
 
 def exact(rows, step, k):
-    good = {}
+    """The nearest ids of every query row but itself, by its id; one list an id where ids are unique."""
+    out = {}
+    for q, ids in exact_rows(rows, step, k):
+        out[q] = ids
+    return out
+
+
+def exact_rows(rows, step, k):
+    good = []
     for i, v in rows:
         if i is None or not v or any(x is None or not math.isfinite(x) for x in v) or not any(v):
             continue
-        good[i] = min(good.get(i, v), v)
-    out = {}
-    for q, v in good.items():
+        good.append((i, np.float32(v).astype(float)))
+    for at, (q, v) in enumerate(good):
         if q % step == 0:
-            scored = [(-float(np.dot(np.float32(v).astype(float), np.float32(w).astype(float))), i) for i, w in good.items() if i != q and len(w) == len(v)]
-            out[q] = [i for _, i in sorted(scored)[:k]]
-    return out
+            scored = [(-float(np.dot(v, w)), i) for n, (i, w) in enumerate(good) if n != at and len(w) == len(v)]
+            yield q, [i for _, i in sorted(scored)[:k]]
 
 
 def recall(found, want):
@@ -238,13 +277,26 @@ def test_shards_blocks_and_unequal_lengths(spark):
 def test_copies_ties_and_bad_vectors(spark):
     hot = [1.0, 0.0]
     rows = [(i, hot) for i in range(0, 200)] + [(300, [0.9, 0.1]), (301, [0.0, 0.0]), (302, None), (303, [float("nan"), 1.0]), (304, [float("inf"), 1.0])]
-    rows += [(305, [None, 1.0]), (None, [1.0, 1.0]), (306, []), (300, [0.9, 0.1]), (400, [1.0, 2.0, 3.0]), (405, [3.0, 2.0, 1.0]), (500, [-1.0, 0.5])]
+    rows += [(305, [None, 1.0]), (None, [1.0, 1.0]), (306, []), (310, [0.9, 0.1]), (400, [1.0, 2.0, 3.0]), (405, [3.0, 2.0, 1.0]), (500, [-1.0, 0.5])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4).withColumn("node", F.lit(1))
     found = lists(graphann.search(df, F.col("vec_id") % 100 == 0, 5))
     assert found == exact(rows, 100, 5)
     assert found[0] == [1, 2, 3, 4, 5] and found[100] == [0, 1, 2, 3, 4] and found[400] == [405]
 
 
+def test_every_row_of_a_repeated_id_is_asked_and_found(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [1.0, 0.0]), (1, [0.9, 0.3]), (1, [0.2, 0.8]), (2, [0.5, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("row", F.lit("x")).withColumn("least", F.lit("y"))
+    found = graphann.search(df, F.col("vec_id") % 20 == 0, 4).collect()
+    want = Counter((q, r + 1, i) for q, ids in exact_rows(rows, 20, 4) for r, i in enumerate(ids))
+    assert Counter((r.query_id, r["rank"], r.vec_id) for r in found) == want
+
+
+def test_scores_of_doubles_are_not_rounded(spark):
+    df = spark.createDataFrame([(0, [0.1, 0.2]), (1, [0.3, 0.4])], "vec_id long, embedding array<double>")
+    assert [r.score for r in graphann.search(df, F.col("vec_id") == 0, 3).collect()] == [float(np.dot([0.1, 0.2], [0.3, 0.4]))]
+
+
 def test_scores_are_double_products_and_few_rows_give_short_lists(spark):
     rows = [(0, [0.1, 0.2]), (1, [0.3, 0.4]), (20, [0.5, 0.6])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")

@@ -40,6 +40,15 @@ def test_language_of_held_out_rows(languages):
     assert told[1002].lang_pred == "de" and all(0 <= r.score <= 1 for r in rows)
 
 
+def test_every_language_is_learned(spark):
+    rows = [(1000 * n + i, f"{chr(0x4E00 + n)}{chr(0x3400 + n)} " * 4, f"l{n:03}") for n in range(250) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    assert len(model.languages) == 250
+    told = langid.identify(docs, model, ["doc_id", "lang"]).collect()
+    assert sum(r.lang == r.lang_pred for r in told) > 0.95 * len(told)
+
+
 def test_held_out_rows_teach_nothing(spark, languages):
     from pyspark.sql import functions as F
 
@@ -163,6 +172,45 @@ def test_quality_edges(judged, spark):
     assert quality.classify(docs.limit(0), model, ["doc_id"]).count() == 0
 
 
+def test_quality_counts_of_a_long_text_are_whole(spark, monkeypatch):
+    seen, fit = [], quality.fit_sgd
+    monkeypatch.setattr(quality, "fit_sgd", lambda rows, *a: (seen.extend(rows), fit(rows, *a))[1])
+    long = next(i for i in range(8) if not held(i, 3, 1))
+    docs = spark.createDataFrame([(i, "w " * 70_000 if i == long else f"é text {i}") for i in range(8)], "doc_id long, text string")
+    quality.train(docs, spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, quality int"))
+    parts = np.concatenate(list(quality.features("w " * 70_000)))
+    want = np.bincount(parts, minlength=quality.BUCKETS)
+    assert want.max() > 65_535
+    assert any(np.allclose(share, want[at] / want.sum()) for at, share, _ in seen if len(at) == np.count_nonzero(want))
+
+
+def test_quality_ngrams_are_of_characters():
+    one, other = (set(np.concatenate(list(quality.features(t))).tolist()) for t in ("é", "éé"))
+    assert len(one) == 1 + 1 and one != other  # " é " has one n-gram of 3 characters and one word
+
+
+def test_a_step_of_the_vectors_is_the_gradient_times_the_features(monkeypatch):
+    monkeypatch.setattr(quality, "BUCKETS", 8)
+    rows = [(np.array([1, 4]), np.array([0.25, 0.75]), 1), (np.array([2]), np.array([1.0]), 0)]
+    def loss(vectors, layer, bias, row):
+        at, share, label = row
+        x = share @ vectors[at] @ layer + bias
+        return np.log(np.exp(x).sum()) - x[label]
+    start = quality.fit_sgd([], 0)[0]
+    layer, bias = np.random.default_rng(1).normal(size=(quality.DIMENSION, 2)), np.zeros(2)
+    for row in rows:
+        at, share, label = row
+        x = share @ start[at] @ layer + bias
+        p = np.exp(x) / np.exp(x).sum()
+        p[label] -= 1
+        step = np.minimum(share * len(at), 4.0)[:, None] * (layer @ p) / len(at)
+        for i, n in enumerate(at):
+            for d in range(3):
+                moved = start.copy()
+                moved[n, d] += 1e-6
+                assert abs((loss(moved, layer, bias, row) - loss(start, layer, bias, row)) / 1e-6 - step[i, d]) < 1e-4
+
+
 def test_quality_features_do_not_depend_on_slices_at_blanks(monkeypatch):
     text = "some words and some words again " * 40
     whole = Counter(np.concatenate(list(quality.features(text))).tolist())
