@@ -216,3 +216,53 @@ def scd2_apply(
         "is_current": F.col("__next").isNull(),
     })
     return history.unionByName(still).unionByName(versions.select(*dim.columns))
+
+
+def scd2_apply_late(
+    dim: DataFrame, changes: DataFrame, seen: DataFrame, key: str, ts: str, tracked: Sequence[str], surrogate: str
+) -> DataFrame:
+    """``scd2_apply`` for changes in any order: late ones split closed intervals, and their neighbours are chained anew.
+
+    ``seen`` are all changes applied before, as ``changes`` has them: a change that repeated the
+    state of its time left no version, but counts once a late one comes before it. The versions of
+    just the keys that ``changes`` names are made again, from the key's first version and all its
+    changes, on range partitions; other rows pass straight through. A version that starts when it
+    did before keeps its surrogate key, new ones get keys above the largest in use (in order of key
+    and time). Of several changes at one instant the largest state counts; changes no later than a
+    key's first version and unknown keys are ignored. Attributes that are not tracked are those of
+    the open version. Whatever the order of arrival, the intervals and states are those of the
+    changes applied in order of time.
+    """
+    columns = [key, ts, *tracked]
+    named = changes.select(key).distinct()
+    own = dim.join(named, key, "left_semi")
+    rest = dim.join(named, key, "left_anti").select(*dim.columns)
+    first = own.groupBy(key).agg(F.min("effective_from").alias("__first"))
+    every = changes.select(*columns).unionByName(seen.select(*columns).join(named, key, "left_semi"))
+    every = every.withColumnRenamed(ts, "effective_from").join(first, key).filter(F.col("effective_from") > F.col("__first")).drop("__first")
+    every = latest_per_key(every, [key, "effective_from"], tracked)
+    origin = own.join(first, key).filter(F.col("effective_from") == F.col("__first")).select(key, "effective_from", *tracked)
+    # A version that is there but in no change, as of a dimension that came with a history, is a change as well.
+    kept = own.join(first, key).filter(F.col("effective_from") > F.col("__first")).select(key, "effective_from", *tracked)
+    kept = kept.join(every.select(key, "effective_from"), [key, "effective_from"], "left_anti")
+    rows = ranged(origin.unionByName(every).unionByName(kept), [key], ["effective_from"])
+
+    state = F.struct(*tracked)
+    compared = previous_in_ranges(rows, [key], "effective_from", state, "__before")
+    points = compared.filter(F.col("__before").isNull() | ~F.col("__before").eqNullSafe(state)).drop("__before")
+    known = own.select(key, "effective_from", F.col(surrogate).alias("__known"))
+    points = stored(points.join(known, [key, "effective_from"], "left").withColumn("__new", F.col("__known").isNull().cast("bigint")))
+    # The join has moved the rows: they are ranged again, with what they now carry.
+    again = ranged(points.drop("__part"), [key], ["effective_from"])
+    dated = next_in_ranges(again, [key], "effective_from", F.col("effective_from"), "__next")
+    numbered = running_in_ranges(dated, [], [key, "effective_from"], "__new", "__seq")
+
+    top = dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("bigint").alias("m")).scalar()
+    carried = [c for c in dim.columns if c not in {surrogate, *tracked, "effective_from", "effective_to", "is_current"}]
+    full = numbered.join(own.filter("is_current").select(*carried), key)
+    versions = full.withColumns({
+        surrogate: F.coalesce("__known", top + F.col("__seq")).cast(dim.schema[surrogate].dataType),
+        "effective_to": F.coalesce("__next", F.lit(OPEN_END).cast("timestamp_ntz")),
+        "is_current": F.col("__next").isNull(),
+    })
+    return rest.unionByName(versions.select(*dim.columns))

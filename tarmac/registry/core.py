@@ -19,6 +19,7 @@ from tarmac.operators import ordering as O
 from tarmac.operators import upsert as U
 from tarmac.operators import windows as W
 from tarmac.operators.fanout import Branch, FanOut
+from tarmac.operators.ranges import stored
 from tarmac.plans.gold import columns_of
 from tarmac.registry.base import query
 from tarmac.registry.binding import AS_OF, FIRST_DAY, LAST_DAY, NOW, bind, driver
@@ -904,3 +905,35 @@ def scd2_apply(spark: SparkSession, sf: str) -> DataFrame:
     return U.scd2_apply(dim, changes, "passenger_id", "changed_at", ["loyalty_tier"], "passenger_key")
 
 
+@query("scd2_late", oracle("passenger_id:s loyalty_tier:s effective_from:t effective_to:t is_current:b one_key:b", """
+    SELECT passenger_id, tier AS loyalty_tier, effective_from, true AS one_key,
+      coalesce(lead(effective_from) OVER w, TIMESTAMP '9999-12-31 23:59:59') AS effective_to, lead(effective_from) OVER w IS NULL AS is_current
+    FROM (SELECT *, lag(tier) OVER (PARTITION BY c_custkey ORDER BY effective_from) AS before FROM versions)
+    WHERE before IS NULL OR before <> tier
+    WINDOW w AS (PARTITION BY c_custkey ORDER BY effective_from)""",
+    versions="""
+      SELECT c_custkey, passenger_id, loyalty_tier AS tier, TIMESTAMP '1994-01-01' AS effective_from
+      FROM (SELECT passenger_key AS c_custkey, passenger_id, loyalty_tier FROM passenger)
+      UNION ALL
+      SELECT o_custkey, 'P' || lpad(CAST(o_custkey AS VARCHAR), 9, '0'), max(CASE o_orderpriority
+        WHEN '1-URGENT' THEN 'DIAMOND' WHEN '2-HIGH' THEN 'PLATINUM' WHEN '3-MEDIUM' THEN 'GOLD' ELSE 'SILVER' END),
+        o_orderdate FROM orders GROUP BY o_custkey, o_orderdate"""))
+def scd2_late(spark: SparkSession, sf: str) -> DataFrame:
+    """The same tiers from changes that arrive in three batches, the latest first; each version has a key of its own."""
+    dim = bind(spark, sf).passenger.select(
+        "passenger_key", "passenger_id", "loyalty_tier",
+        F.lit("1994-01-01").cast("timestamp_ntz").alias("effective_from"), "effective_to", "is_current",
+    )
+    changes = driver(spark, sf, "orders").selectExpr(
+        "concat('P', lpad(CAST(o_custkey AS string), 9, '0')) AS passenger_id", "o_orderdate AS changed_at", "2 - year(o_orderdate) % 3 AS part",
+        """CASE o_orderpriority WHEN '1-URGENT' THEN 'DIAMOND' WHEN '2-HIGH' THEN 'PLATINUM'
+           WHEN '3-MEDIUM' THEN 'GOLD' ELSE 'SILVER' END AS loyalty_tier""",
+    )
+    for part in range(3):
+        arrived = changes.filter(F.col("part") == part)
+        dim = stored(U.scd2_apply_late(dim, arrived, changes.filter(F.col("part") < part), "passenger_id", "changed_at", ["loyalty_tier"], "passenger_key"))
+    shared = dim.groupBy("passenger_key").agg(F.count("*").alias("rows"))
+    return dim.join(shared, "passenger_key").select(
+        "passenger_id", "loyalty_tier", "effective_from", "effective_to", "is_current", (F.col("rows") == 1).alias("one_key"))
+
+

@@ -12,6 +12,7 @@ from tarmac.functions.conditions import sentiment_label
 from tarmac.functions.scoring import delay_risk as delay_risk_score
 from tarmac.operators import governance, quality
 from tarmac.operators.ordering import union_all
+from tarmac.operators.history import History
 from tarmac.operators.snapshot import as_of_snapshot as snapshot_at
 from tarmac.operators.snapshot import restore_snapshot as restore_at
 from tarmac.plans import anomalies, classify, features, forecasting, gold, prompts, semantic
@@ -106,6 +107,17 @@ def as_of_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return snapshot_at(_order_log(spark, sf), ["o_custkey"], "o_orderdate", "1998-12-31 23:59:59")
 
 
+@query("as_of_checkpoint", oracle("o_custkey:i o_orderdate:t o_orderkey:i o_orderstatus:s o_totalprice:r", SNAPSHOT_SQL))
+def as_of_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
+    """The same state out of a checkpoint and the changes after it; changes arrive in three batches."""
+    log = _order_log(spark, sf)
+    history = History(spark, scratch_path(spark, "orders"), log.schema, ["o_custkey"], "o_orderdate")
+    for batch, (first, last) in enumerate([(1992, 1996), (1997, 1998), (1999, 9999)]):
+        history.append(log.filter(F.year("o_orderdate").between(first, last)), batch)
+        history.checkpoint(f"{min(last, 2001)}-06-30 00:00:00")
+    return history.as_of("1998-12-31 23:59:59")
+
+
 @query("restore_snapshot", oracle("o_orderstatus:s customers:i", f"""
     SELECT o_orderstatus, count(*) AS customers FROM ({SNAPSHOT_SQL}) GROUP BY 1"""))
 def restore_snapshot(spark: SparkSession, sf: str) -> DataFrame:
