@@ -143,12 +143,12 @@ ORACLES = {
           SELECT *,
                  (1.5::DOUBLE * CAST(sum(source_size) OVER () AS DOUBLE)
                   - CAST(sum(2 * source_size) OVER o - 2 * source_size AS DOUBLE))
-                 / CAST(sum(weight) OVER () - (sum(weight) OVER o - weight) AS DOUBLE) AS at
+                 / CAST(sum(weight) OVER () - (sum(weight) OVER o - weight) AS DOUBLE) AS reached
           FROM levels WINDOW o AS (ORDER BY level, source NULLS LAST ROWS UNBOUNDED PRECEDING)
         ), aims AS (
           SELECT source, source_size,
                  least(CAST(2 * source_size AS DOUBLE),
-                       coalesce(CAST(weight AS DOUBLE) * (SELECT max(at) FROM tried WHERE at <= level), CAST(2 * source_size AS DOUBLE))) AS target
+                       coalesce(CAST(weight AS DOUBLE) * (SELECT max(reached) FROM tried WHERE reached <= level), CAST(2 * source_size AS DOUBLE))) AS target
           FROM tried
         ), budgets AS (
           SELECT *, CAST(floor(target + CAST(0.5 AS DOUBLE)) AS BIGINT) AS budget FROM aims
