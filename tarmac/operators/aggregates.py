@@ -106,7 +106,7 @@ def exact_percentiles(
     ).select(*keys, F.col("__t.i").alias("__i"), F.col("__t.low").alias("__low"),
              F.col("__t.high").alias("__high"), F.col("__t.rank").alias("__rank"))
 
-    counts = rows.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    counts = rows.withColumn("__c", F.lit(1).cast("bigint"))  # targets are a few rows: nothing is shuffled before they apply
     same_group = [counts[k].eqNullSafe(targets[k]) for k in keys]
     match = reduce(lambda a, b: a & b, same_group, F.lit(True)) & (counts["__v"] <= targets["__high"])
     joined = counts.join(targets, match).select(
