@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.functions.masks import MASK_BY_TAG, row_access
+from tarmac.functions.masks import ADMIN, MASK_BY_TAG, row_access
 
 # The allowed values of each tag.
 ALLOWED_TAGS = {
@@ -70,13 +70,28 @@ def tag_catalog(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def policy_apply(df: DataFrame, role: str, home: str | None = None) -> DataFrame:
-    """The table as ``role`` may see it: tagged columns masked, rows filtered by home."""
+def policy_apply(
+    df: DataFrame, role: str, home: str | None = None, literal: bool = True, required: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The table as ``role`` may see it: tagged columns masked, rows filtered by home.
+
+    ``literal`` keeps the published policies: a tag without a mask of its own hides nothing.
+    Without it such a column is null for all but the administrator. ``required`` names columns and
+    the tag each must bear; a column whose tag was lost on the way raises instead of passing in full.
+    """
+    for name, tag in (required or {}).items():
+        found = df.schema[name].metadata.get("PII_CLASSIFICATION")
+        if found != tag:
+            raise ValueError(f"column {name} should be tagged {tag}, not {found}")
     if home:
         df = df.filter(row_access(F.col(home), role))
     out = []
     for field in df.schema.fields:
-        mask = MASK_BY_TAG.get(field.metadata.get("PII_CLASSIFICATION"))
-        value = F.col(field.name)
-        out.append((mask(value, role) if mask else value).alias(field.name))
+        tag = field.metadata.get("PII_CLASSIFICATION")
+        mask, value = MASK_BY_TAG.get(tag), F.col(field.name)
+        if mask:
+            value = mask(value, role)
+        elif tag and not literal and role != ADMIN:
+            value = F.lit(None).cast(field.dataType)
+        out.append(value.alias(field.name))
     return df.select(*out)

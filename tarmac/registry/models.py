@@ -416,7 +416,7 @@ def _cancel_model(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, c
     rows = features.cancel_training(bind(spark, sf))
     train, test = classify.holdout(rows, "flight_event_key")
     model = classify.train(
-        train, "cancellation_label", "CANCELLED", "OPERATED", exclude=["flight_event_key"], trees=3, depth=3
+        train, "cancellation_label", "CANCELLED", "OPERATED", exclude=["flight_event_key"]
     )
     return train, test, model
 
@@ -427,7 +427,7 @@ def classify_churn(spark: SparkSession, sf: str) -> DataFrame:
     t = bind(spark, sf)
     rows = features.churn_training(t, AS_OF).drop("days_since_last_activity")
     train, test = classify.holdout(rows, "passenger_key")
-    model = classify.train(train, "churn_label", "CHURNED", "ACTIVE", exclude=["passenger_key"], trees=3, depth=3)
+    model = classify.train(train, "churn_label", "CHURNED", "ACTIVE", exclude=["passenger_key"])
     return classify.predict(model, test, ["passenger_key", "churn_label"])
 
 

@@ -181,3 +181,22 @@ def test_a_unit_that_empties_leaves_the_gold_table(spark):
     for _ in range(2):
         run(touched, 1)
     assert [(r.unit, r.v) for r in spark.read.schema("v long, unit string").parquet(path).collect()] == [("2", 2)]
+
+
+def test_late_and_repeated_versions_are_counted_and_listed(spark):
+    from datetime import datetime, timedelta
+
+    from tarmac.streaming.changes import ChangeFeed
+
+    schema = struct("k bigint, at timestamp_ntz, v string")
+    feed = ChangeFeed(spark, scratch_path(spark, "changes"), schema, ["k"], "at", timedelta(hours=1))
+    feed.start()
+    t = lambda h: datetime(2024, 1, 1, h)
+    batches = [[(1, t(5), "a"), (1, t(5), "a"), (2, t(3), "b"), (None, t(4), "?")], [(1, t(5), "a"), (2, t(2), "old"), (2, t(9), "c")], [(3, t(8), "d"), (3, t(7), "late")]]
+    for n, rows in enumerate(batches):
+        for _ in range(2):  # every batch is replayed
+            feed.take(spark.createDataFrame(rows, schema), n)
+    got = [(r.messages, r.late, r.repeated, r.passed) for r in feed.read("accounts").orderBy("batch_id").collect()]
+    assert got == [(4, 1, 1, 2), (3, 1, 1, 1), (2, 1, 0, 1)]
+    assert sorted(r.v for r in feed.read().collect()) == ["a", "b", "c", "d"]
+    assert sorted(r.v for r in feed.read("late").collect()) == ["?", "late", "old"]

@@ -308,3 +308,16 @@ def test_fan_out_leaves_out_details_before_it_aggregates_them(spark):
     plan = fan(True)._jdf.queryExecution().optimizedPlan().toString().splitlines()
     depth = {w: [len(x) - len(x.lstrip(" +-:")) for x in plan if w in x] for w in ("Aggregate [k", "Join LeftSemi")}
     assert len(depth["Join LeftSemi"]) == 2 and min(depth["Join LeftSemi"]) > min(depth["Aggregate [k"])
+
+
+def test_safe_policy_hides_tags_without_a_mask(spark):
+    from tarmac.functions.masks import ADMIN, ANALYST
+
+    people = spark.createDataFrame([(1, "1990-01-01", "x@y.org")], "k int, date_of_birth string, email string")
+    marked = people.withMetadata("date_of_birth", {"PII_CLASSIFICATION": "DOB"}).withMetadata("email", {"PII_CLASSIFICATION": "EMAIL"})
+    assert governance.policy_apply(marked, ANALYST).first().date_of_birth == "1990-01-01"  # as published
+    safe = governance.policy_apply(marked, ANALYST, literal=False, required={"email": "EMAIL"}).first()
+    assert safe.date_of_birth is None and safe.email not in (None, "x@y.org") and safe.k == 1
+    assert governance.policy_apply(marked, ADMIN, literal=False).first().date_of_birth == "1990-01-01"
+    with pytest.raises(ValueError, match="should be tagged EMAIL"):
+        governance.policy_apply(people, ANALYST, required={"email": "EMAIL"})
