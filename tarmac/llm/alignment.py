@@ -7,8 +7,9 @@ token is linked to those whose bytes it overlaps.
 
 A single space between two other marks is a cut of both by construction (neither tokeniser has a
 token that goes over it), so texts come apart there before they are encoded, and a part that
-recurs is encoded and aligned once. Links are counted corpus-wide by pair of ids: each task sums
-up its rows' pairs, Spark sums up the tasks'. A document's pairs stay with it as arrays. The
+recurs is encoded and aligned once. New parts are encoded many at a time and gone through together:
+all open intervals of a level are probed at once. Links are counted corpus-wide by pair of ids:
+each task sums up its rows' pairs, Spark sums up the tasks'. A document's pairs stay with it as arrays. The
 pairs that have at least one in ``1 / FREQUENT`` of all links, at most that many whatever the
 corpus, are broadcast and looked up; all others are joined by pair.
 
@@ -22,7 +23,6 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from bisect import bisect_left
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -36,57 +36,59 @@ from tarmac.operators.ranges import stored
 
 FREQUENT = 1 << 18  # most pairs that are broadcast
 ID_BITS = 31  # a pair of ids is one number: the first id above so many bits of the second
-PARTS_CACHED, CACHED_CHARS = 150_000, 48
-PARTS_AT_ONCE = 20_000
+PARTS_CACHED, CHARS_CACHED = 400_000, 8_000_000  # what a worker remembers at most, before a batch adds to it
+JOINED = 256  # new parts that are encoded as one text
 SUMMED = 500_000  # pairs that a task gathers before it sums them up
+MARK = "▁"  # stands for a space in pieces, so a text that holds it is not spelt by them
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")  # a single space between other marks
 
 _LOADED: dict[tuple[str, str], "Aligner"] = {}
 
 
-def cuts(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
-    """(i, j) with a[i] == b[j] for every shared end, rising; both sequences rise and end alike."""
-    found, todo = [], [(0, len(a), 0, len(b))]
-    while todo:
-        low, high, start, stop = todo.pop()
-        middle = (low + high) // 2
-        for k in range(2 * (high - low)):  # the middle, then one step further on either side in turn
-            i = middle + ((k + 1) // 2 if k % 2 else -(k // 2))
-            if not low <= i < high:
-                continue
-            j = bisect_left(b, a[i], start, stop)
-            if j < stop and b[j] == a[i]:
-                found.append((i, j))
-                todo += [(low, i, start, j), (i + 1, high, j + 1, stop)]
-                break
-    return sorted(found)
-
-
-def overlaps(a: Sequence[int], b: Sequence[int]) -> Iterator[tuple[int, int]]:
-    """Index pairs of the tokens of one group that share bytes, given all their ends."""
-    i = j = 0
-    while i < len(a) and j < len(b):
-        yield i, j
-        if a[i] <= b[j]:
-            i, j = i + 1, j + (a[i] == b[j])
-        else:
-            j += 1
-
-
-def align(a_ids: Sequence[int], a_ends: Sequence[int], b_ids: Sequence[int], b_ends: Sequence[int]) -> tuple[list[str], list[int]]:
-    """The groups as text, and the linked ids of every link as one number."""
-    groups, links, i, j = [], [], 0, 0
-    for last_a, last_b in cuts(a_ends, b_ends):
-        left, right = a_ids[i : last_a + 1], b_ids[j : last_b + 1]
-        groups.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-        if len(left) == 1:
-            links += [left[0] << ID_BITS | r for r in right]
-        elif len(right) == 1:
-            links += [x << ID_BITS | right[0] for x in left]
-        else:
-            links += [left[x] << ID_BITS | right[y] for x, y in overlaps(a_ends[i : last_a + 1], b_ends[j : last_b + 1])]
-        i, j = last_a + 1, last_b + 1
-    return groups, links
+def cuts(a: np.ndarray, b: np.ndarray, low: np.ndarray, high: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) with a[i] == b[j] for every shared end, rising, inside intervals a[low:high] and b[start:stop].
+
+    Every interval is probed at its middle, by bisection among its part of ``b``, and then one step
+    further on either side in turn. A hit splits it into two intervals; without one it is a leaf.
+    """
+    found, steps = [], np.zeros(len(low), np.int64)
+    while len(low):
+        near = (low + high) // 2 + np.where(steps % 2, (steps + 1) // 2, -(steps // 2))
+        inside = (near >= low) & (near < high)
+        at = np.where(inside, near, low)
+        j = np.clip(np.searchsorted(b, a[at]), start, np.maximum(stop - 1, start))
+        hit = inside & (stop > start) & (b[np.minimum(j, len(b) - 1)] == a[at])
+        found.append((at[hit], j[hit]))
+        left = (low[hit], at[hit], start[hit], j[hit], np.zeros(hit.sum(), np.int64))
+        right = (at[hit] + 1, high[hit], j[hit] + 1, stop[hit], np.zeros(hit.sum(), np.int64))
+        on = ~hit & (steps + 1 < 2 * (high - low))
+        rest = (low[on], high[on], start[on], stop[on], steps[on] + 1)
+        low, high, start, stop, steps = (np.concatenate(parts) for parts in zip(left, right, rest, strict=True))
+        open_ = (high > low) & (stop > start)
+        low, high, start, stop, steps = low[open_], high[open_], start[open_], stop[open_], steps[open_]
+    i, j = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+    order = np.argsort(i, kind="stable")
+    return i[order], j[order]
+
+
+def overlaps(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of the tokens that share bytes, given the ends of both kinds."""
+    first = np.searchsorted(b, np.concatenate([[0], a[:-1]]), side="right")
+    count = np.searchsorted(b, a, side="left") - first + 1
+    return np.repeat(np.arange(len(a)), count), _spread(first, count)
+
+
+def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers from each ``first`` on, ``count`` of them."""
+    before = np.cumsum(count) - count
+    return np.arange(int(count.sum())) - np.repeat(before - first, count)
+
+
+def _told(ids: np.ndarray, last: np.ndarray, mark: str) -> np.ndarray:
+    """Each id in decimal with what follows it: ``mark`` after the last of a group, else a comma."""
+    texts = np.array([f"{i}," for i in ids.tolist()], object)
+    texts[last] = [f"{i}{mark}" for i in ids[last].tolist()]
+    return texts
 
 
 class Aligner:
@@ -101,66 +103,108 @@ class Aligner:
         self.a.encode_special_tokens = True  # the text of a special token is ordinary text
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         letters = {c: i for i, c in enumerate(stand_ins())}
-        spelt = self.a.get_vocab(with_added_tokens=False)
-        self.a_bytes = {i: bytes(letters[c] for c in token) for token, i in spelt.items() if all(c in letters for c in token)}
+        spelt = {i: t for t, i in self.a.get_vocab().items() if all(c in letters for c in t)}
+        self.a_bytes = [bytes(letters[c] for c in spelt.get(i, "")) for i in range(self.a.get_vocab_size())]
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
-        # Of each part seen so far: its numbers (A tokens, B tokens, groups, links), groups as text, links.
-        self.index: dict[str, int] = {}
-        self.numbers: list[tuple[int, int, int, int]] = []
-        self.groups: list[str] = []
-        self.links: list[np.ndarray] = []
+        self.a_size, self.b_size = (np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes))
+        self._forget()
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
-        if self.b.is_byte(i):
-            return bytes([int(piece[3:5], 16)])
-        return piece.replace("▁", " ").encode()
+        return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(MARK, " ").encode()
+
+    def _forget(self) -> None:
+        """Of each part seen so far: its numbers (A tokens, B tokens, groups, links), groups as text, links in a row."""
+        self.index: dict[str, int] = {}
+        self.chars = 0
+        self.numbers = np.zeros((0, 4), np.int64)
+        self.groups: list[str] = []
+        self.links = np.zeros(0, np.int64)
+
+    def _encoded(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of both kinds for parts in a row, each after a space; None if either does not spell them."""
+        spaced = [p for p in parts if p[0].isspace() or p[-1].isspace()]
+        a_ids, b_ids = [], []
+        if spaced:  # such a part stands at an end of its text: it goes alone
+            for part in parts:
+                a_ids.append(self.a.encode(" " + part, add_special_tokens=False).ids)
+                b_ids.append(self.b.encode(part))
+        else:
+            runs = [" ".join(parts[at : at + JOINED]) for at in range(0, len(parts), JOINED)]
+            a_ids = [e.ids for e in self.a.encode_batch_fast([" " + r for r in runs], add_special_tokens=False)]
+            b_ids = self.b.encode(runs, num_threads=1)
+        a, b = (np.fromiter((i for ids in side for i in ids), np.int64) for side in (a_ids, b_ids))
+        whole = " ".join(["", *parts]).encode()
+        told = (b"".join(map(side.__getitem__, ids.tolist())) for side, ids in ((self.a_bytes, a), (self.b_bytes, b)))
+        return (a, b) if all(t == whole for t in told) else None
 
     def _learn(self, parts: list[str]) -> None:
-        """Encode and align parts that are not known yet; one that does not spell itself has no numbers."""
-        a_found = self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)
-        for part, a, b_ids in zip(parts, a_found, self.b.encode(parts, num_threads=1), strict=True):
-            a_ids, whole = a.ids, b" " + part.encode()
-            a_spelt, b_spelt = [self.a_bytes.get(i, b"") for i in a_ids], [self.b_bytes[i] for i in b_ids]
-            self.index[part] = len(self.numbers)
-            if b"".join(a_spelt) != whole or b"".join(b_spelt) != whole:
-                self.numbers.append((-1, 0, 0, 0))
-                self.groups.append("")
-                self.links.append(np.zeros(0, np.int64))
+        """Encode and align parts that are not known yet."""
+        plain = [p for p in parts if not (p[0].isspace() or p[-1].isspace()) and MARK not in p]
+        for some in (plain, *[[p] for p in set(parts).difference(plain)]):
+            if not some:
                 continue
-            a_ends, b_ends = (np.cumsum([len(s) for s in spelt]).tolist() for spelt in (a_spelt, b_spelt))
-            groups, links = align(a_ids, a_ends, b_ids, b_ends)
-            self.numbers.append((len(a_ids), len(b_ids), len(groups), len(links)))
-            self.groups.append(";".join(groups))
-            self.links.append(np.array(links, np.int64))
-
-    def _forget(self) -> None:
-        self.index, self.numbers, self.groups, self.links = {}, [], [], []
-
-    def text(self, text: str | None) -> tuple[tuple[int, int, int, int], str, np.ndarray] | None:
-        """The numbers of a text, its groups, and all its links; None if it has no tokens."""
-        if not text:
-            return None
-        parts, numbers, groups, links = BETWEEN.split(text), [], [], []
-        for at in range(0, len(parts), PARTS_AT_ONCE):
-            some = parts[at : at + PARTS_AT_ONCE]
-            new = [p for p in dict.fromkeys(some) if p not in self.index]
-            if len(self.numbers) + len(new) > PARTS_CACHED:
-                self._forget()
-                new = list(dict.fromkeys(some))
-            self._learn(new)
-            places = [self.index[p] for p in some]
-            numbers += [self.numbers[i] for i in places]
-            groups += [self.groups[i] for i in places]
-            links += [self.links[i] for i in places]
-            if any(len(p) > CACHED_CHARS for p in new):
-                for long in [p for p in new if len(p) > CACHED_CHARS]:
-                    place = self.index.pop(long)
-                    self.groups[place], self.links[place] = "", np.zeros(0, np.int64)
-        total = np.array(numbers, np.int64)
-        if (total[:, 0] < 0).any():
-            return None
-        return tuple(total.sum(axis=0).tolist()), ";".join(groups), np.concatenate(links)
+            if (ids := self._encoded(some)) is not None:
+                self._add(some, *ids)
+            elif len(some) > 1:  # one of them is not spelt: halve until it is found
+                middle = len(some) // 2
+                self._learn(some[:middle])
+                self._learn(some[middle:])
+            else:
+                self._remember(some, np.array([[-1, 0, 0, 0]]), [""], np.zeros(0, np.int64))
+
+    def _remember(self, parts: list[str], numbers: np.ndarray, groups: list[str], links: np.ndarray) -> None:
+        self.index.update(zip(parts, range(len(self.numbers), len(self.numbers) + len(parts)), strict=True))
+        self.chars += sum(map(len, parts))
+        self.numbers, self.links = np.concatenate([self.numbers, numbers]), np.concatenate([self.links, links])
+        self.groups += groups
+
+    def _add(self, parts: list[str], a: np.ndarray, b: np.ndarray) -> None:
+        a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        ends = np.cumsum([len(p.encode()) + 1 for p in parts])
+        # How many tokens of either kind end by each part's end, and how many of its cuts.
+        a_by, b_by = np.searchsorted(a_ends, ends, "right"), np.searchsorted(b_ends, ends, "right")
+        begin = lambda by: np.concatenate([[0], by[:-1]])
+        i, j = cuts(a_ends, b_ends, begin(a_by), a_by, begin(b_by), b_by)
+        by = np.searchsorted(i, a_by, "left")
+        x, y = overlaps(a_ends, b_ends)
+        links_by = np.searchsorted(x, a_by, "left")
+        # Texts: a group's A ids, then its B ids; a token comes after those of its kind and of the other's earlier groups.
+        text = np.empty(len(a) + len(b), object)
+        a_last, b_last = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        a_last[i], b_last[j] = True, True
+        group_a, group_b = np.searchsorted(i, np.arange(len(a)), "left"), np.searchsorted(j, np.arange(len(b)), "left")
+        text[np.arange(len(a)) + np.concatenate([[0], j + 1])[group_a]] = _told(a, a_last, "|")
+        text[np.arange(len(b)) + (i + 1)[group_b]] = _told(b, b_last, ";")
+        told, at = text.tolist(), (a_by + b_by).tolist()
+        groups = ["".join(told[s:e]) for s, e in zip([0, *at], at, strict=False)]
+        counts = [c - begin(c) for c in (a_by, b_by, by, links_by)]
+        self._remember(parts, np.stack(counts, axis=1), groups, a[x] << ID_BITS | b[y])
+
+    def texts(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+        """Of each text: its numbers, its groups; and of all texts, the owners of links and the links.
+
+        A text without tokens has zeros, an empty text for its groups, and no links.
+        """
+        split = [BETWEEN.split(t) if t else [] for t in texts]
+        new = [p for p in dict.fromkeys(p for s in split for p in s) if p not in self.index]
+        if len(self.index) + len(new) > PARTS_CACHED or self.chars > CHARS_CACHED:
+            self._forget()
+            new = list(dict.fromkeys(p for s in split for p in s))
+        self._learn(new)
+        places = np.fromiter((self.index[p] for s in split for p in s), np.int64)
+        owner = np.repeat(np.arange(len(texts)), [len(s) for s in split])
+        numbers = np.zeros((len(texts), 4), np.int64)
+        wrong = np.zeros(len(texts), bool)
+        np.logical_or.at(wrong, owner, self.numbers[places, 0] < 0)
+        places, owner = places[~wrong[owner]], owner[~wrong[owner]]
+        np.add.at(numbers, owner, self.numbers[places])
+        told, at = [self.groups[i] for i in places.tolist()], np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()
+        groups = ["".join(told[s:e])[:-1] for s, e in zip(at, at[1:], strict=False)]
+        count = self.numbers[:, 3]
+        first = np.cumsum(count) - count
+        links = self.links[_spread(first[places], count[places])]
+        return numbers, groups, np.repeat(owner, count[places]), links
 
 
 def aligner(a_path: str, b_path: str) -> Aligner:
@@ -175,7 +219,7 @@ def groups(docs: DataFrame, keep: Sequence[str], a_path: str, b_path: str, text:
 
     def make() -> Callable[[list], list]:
         own = aligner(a_path, b_path)
-        return lambda texts: [[found[1] if (found := own.text(t)) else "" for t in texts]]
+        return lambda texts: [own.texts(texts)[1]]
 
     return annotate(docs, text, keep, "groups string", make)
 
@@ -188,15 +232,15 @@ def linked(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         own = aligner(a_path, b_path)
 
         def work(texts: list) -> list:
-            rows = []
-            for text in texts:
-                if (found := own.text(text)) is None:
-                    rows.append([0, 0, 0, 0, "", [], []])
-                    continue
-                numbers, told, links = found
-                pairs, times = np.unique(links, return_counts=True)
-                rows.append([*numbers, hashlib.sha256(told.encode()).hexdigest(), pairs, times])
-            return list(zip(*rows, strict=True)) if rows else [[]] * 7
+            numbers, told, owner, links = own.texts(texts)
+            digests = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in told]
+            order = np.lexsort((links, owner))
+            owner, links = owner[order], links[order]
+            change = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (links[1:] != links[:-1])])) if len(links) else np.zeros(0, np.int64)
+            times = np.diff(np.concatenate([change, [len(links)]]))
+            ends = np.searchsorted(owner[change], np.arange(len(texts)), "right")
+            pairs = np.split(links[change], ends[:-1]) if len(texts) else []
+            return [*numbers.T, digests, pairs, np.split(times, ends[:-1]) if len(texts) else []]
 
         return work
 
