@@ -57,6 +57,7 @@ class Scratch:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
         self.paths = []
+        self.spark._jvm.System.gc()  # Spark deletes the shuffle files of what is no longer referred to
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
