@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import BATCH_ROWS, ship
+from tarmac.llm.common import BATCH_ROWS, held, ship
 from tarmac.operators.ranges import stored
 
 CAPACITY = 4096
@@ -37,7 +37,6 @@ JOINED = 256  # new words encoded as one text
 TAIL = "!#$%&()*+,-./:;<=>?@[]^_`{|}~"  # marks that join no letter; without the apostrophe, which does
 MAX_BLOCK_WINDOWS = 1 << 24  # sequence ids of a block are its number times this, and up
 
-_CACHE: dict[str, dict[str, bytes]] = {}
 _TOKENIZERS: dict[str, object] = {}
 
 
@@ -66,51 +65,61 @@ def add_words(path: str, new: list[str], known: dict[str, bytes]) -> None:
     a word; one with a tail of marks is its letters' ids and its tail's. Others go one by one.
     """
     vocabulary, ends = _load(path)
-    parts = {w: w.rstrip(TAIL) for w in new}
-    plain = list({core for core in parts.values() if core.isalpha() and core not in known})
-    tails = {w[len(core):] for w, core in parts.items() if core.isalpha()}.difference(known, [""])
-    single = [w for w, core in parts.items() if not core.isalpha()]
+    letters = set(filter(str.isalpha, new))
+    parts = [(w, w.rstrip(TAIL)) for w in new if w not in letters]
+    tailed = [(w, core, w[len(core):]) for w, core in parts if core.isalpha()]
+    single = [w for w, core in parts if not core.isalpha()]
+    letters.update(core for _, core, _ in tailed if core not in known)
+    plain = list(letters)
     groups = [plain[at : at + JOINED] for at in range(0, len(plain), JOINED)]
     joined = vocabulary.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
     for group, found in zip(groups, joined, strict=True):
         ids = np.asarray(found.ids, dtype="<u4")
-        stops = np.flatnonzero(ends[ids]) + 1
+        stops = 4 * (np.flatnonzero(ends[ids]) + 1)
         if len(stops) == len(group):  # every word gives one or more ends, so each gave one
             raw, begin = ids.tobytes(), 0
-            for word, stop in zip(group, (4 * stops).tolist(), strict=True):
+            for word, stop in zip(group, stops.tolist(), strict=True):
                 known[word] = raw[begin:stop]
                 begin = stop
         else:
             single += group
-    for group in (single, list(tails)):
-        for word, found in zip(group, vocabulary.encode_batch_fast(group, add_special_tokens=False), strict=True):
-            known[word] = _raw(found.ids)
-    for word, core in parts.items():
-        if word not in known:
-            known[word] = known[core] + known[word[len(core):]]
+    single += {tail for _, _, tail in tailed}.difference(known)
+    for word, found in zip(single, vocabulary.encode_batch_fast(single, add_special_tokens=False), strict=True):
+        known[word] = _raw(found.ids)
+    for word, core, tail in tailed:
+        known[word] = known[core] + known[tail]
 
 
 def encode_texts(path: str, texts: list[str | None]) -> list[bytes]:
     """Each text's ids and the end id, as little-endian unsigned 32-bit integers.
 
     The vocabulary drops white space and never merges across it, so what stands between
-    spaces and line ends is looked up; what recurs is encoded once.
+    spaces and line ends is looked up; what recurs is encoded once, and the words of several
+    texts together.
     """
-    known = _CACHE.setdefault(path, {})
+    known = held(path)
     end = _raw([END_ID])
-    out = []
+    out, waiting, many = [], [], 0
     for text in texts:
         words = (text or "").replace("\n", " ").split(" ")
-        ids = []
-        for at in range(0, len(words), WORDS_AT_ONCE):
-            part = words[at : at + WORDS_AT_ONCE]
-            if len(known) > WORDS_CACHED:
-                known.clear()
-            if new := set(part).difference(known):
-                add_words(path, list(new), known)
-            ids += map(known.__getitem__, part)
-        out.append(b"".join(ids) + end)
-    return out
+        if waiting and many + len(words) > WORDS_AT_ONCE:
+            out += _looked_up(path, waiting, known)
+            waiting, many = [], 0
+        waiting.append(words)
+        many += len(words)
+    return [ids + end for ids in out + _looked_up(path, waiting, known)]
+
+
+def _looked_up(path: str, texts: list[list[str]], known: dict[str, bytes]) -> list[bytes]:
+    """The ids of each list of words; lists longer than ``WORDS_AT_ONCE`` words stand alone and are cut."""
+    if len(texts) == 1 and len(texts[0]) > WORDS_AT_ONCE:
+        cuts = [texts[0][at : at + WORDS_AT_ONCE] for at in range(0, len(texts[0]), WORDS_AT_ONCE)]
+        return [b"".join(ids for words in cuts for ids in _looked_up(path, [words], known))]
+    if len(known) > WORDS_CACHED:
+        known.clear()
+    if new := set().union(*texts).difference(known):
+        add_words(path, list(new), known)
+    return [b"".join(map(known.__getitem__, words)) for words in texts]
 
 
 def cut(length: int, capacity: int, grain: int) -> Iterator[tuple[int, int]]:
@@ -152,29 +161,30 @@ def difference(sizes: np.ndarray, windows: int) -> list[list[int]]:
     Every item starts as a partition with one part filled. The two partitions of the
     widest spread are merged, the fullest part of one with the emptiest of the other,
     until one partition is left. Parts are nodes of a forest: a merge of two filled
-    parts links them, any other keeps the node it has.
+    parts links them, any other keeps the node it has. Only filled parts are held, fullest
+    first: two partitions that fit side by side are joined without a sum.
     """
     n = len(sizes)
     left, right = [], []
     heap = []
     for i in np.argsort(-sizes, kind="stable"):
-        sums, nodes = np.zeros(windows, np.int64), np.full(windows, -1, np.int64)
-        sums[0], nodes[0] = sizes[i], i
-        heap.append((-int(sizes[i]) if windows > 1 else 0, int(i), sums, nodes))
+        heap.append((-int(sizes[i]) if windows > 1 else 0, int(i), sizes[i : i + 1].astype(np.int64), np.array([i], np.int64)))
     heapq.heapify(heap)
     while len(heap) > 1:
         _, mark, a, a_nodes = heapq.heappop(heap)
         _, _, b, b_nodes = heap[0]
-        sums, other = a + b[::-1], b_nodes[::-1]
-        nodes = np.where(a_nodes < 0, other, a_nodes)
-        both = np.flatnonzero((a_nodes >= 0) & (other >= 0))
-        if len(both):
-            nodes[both] = n + len(left) + np.arange(len(both))
-            left += a_nodes[both].tolist()
-            right += other[both].tolist()
-        order = np.argsort(-sums, kind="stable")
-        sums, nodes = sums[order], nodes[order]
-        heapq.heapreplace(heap, (int(sums[-1] - sums[0]), mark, sums, nodes))
+        meet = len(a) + len(b) - windows  # parts of either that are filled in both
+        sums, nodes = np.concatenate((a, b[::-1][max(meet, 0) :])), np.concatenate((a_nodes, b_nodes[::-1][max(meet, 0) :]))
+        if meet > 0:
+            sums[len(a) - meet : len(a)] += b[::-1][:meet]
+            nodes[len(a) - meet : len(a)] = n + len(left) + np.arange(meet)
+            left += a_nodes[len(a) - meet :].tolist()
+            right += b_nodes[::-1][:meet].tolist()
+        if meet > 0 or len(b) > 1 or b[0] > a[-1]:
+            order = np.argsort(-sums, kind="stable")
+            sums, nodes = sums[order], nodes[order]
+        least = int(sums[-1]) if len(sums) == windows else 0
+        heapq.heapreplace(heap, (least - int(sums[0]), mark, sums, nodes))
     out = []
     for root in heap[0][3].tolist() if heap else []:
         items, open_nodes = [], [root] if root >= 0 else []
@@ -185,7 +195,7 @@ def difference(sizes: np.ndarray, windows: int) -> list[list[int]]:
             else:
                 open_nodes += (left[node - n], right[node - n])
         out.append(items)
-    return out
+    return out + [[] for _ in range(windows - len(out))] if heap else out
 
 
 def balance(sizes: np.ndarray, capacity: int) -> list[list[int]]:

@@ -7,6 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tarmac.llm import packing
+from tarmac.llm.common import held
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -34,6 +35,22 @@ def test_a_full_cache_changes_nothing(vocabulary, monkeypatch):
     assert np.frombuffer(packing.encode_texts(PATH, [text])[0], "<u4").tolist()[:-1] == vocabulary.encode(text, add_special_tokens=False).ids
 
 
+def test_new_words_of_many_texts_are_encoded_together(vocabulary, monkeypatch):
+    calls, add = [], packing.add_words
+    monkeypatch.setattr(packing, "add_words", lambda path, new, known: (calls.append(len(new)), add(path, new, known)))
+    held(None)
+    texts = [f"text{'abcdefghij'[i % 10]} Wörd{'klmno'[i % 5]}, {i} é! DON'T" for i in range(100)] + [None, "", "x, x; y"]
+    for text, ids in zip(texts, packing.encode_texts(PATH, texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == [*vocabulary.encode(text or "", add_special_tokens=False).ids, packing.END_ID]
+    assert len(calls) == 1
+
+
+def test_a_worker_remembers_for_one_operator_at_a_time():
+    packing.encode_texts(PATH, ["some words"])
+    assert "words" in held(PATH)
+    assert held("another") == {} and held(PATH) == {}
+
+
 @pytest.mark.parametrize("length", [1, 1023, 1024, 1025, 4095, 4096, 4097, 8192, 13000])
 def test_cut_is_gapless_and_bounded(length):
     cuts = list(packing.cut(length, 4096, 1024))
@@ -54,6 +71,34 @@ def test_differencing_places_every_item_once_and_evenly():
     assert max(sums) - min(sums) < 100
 
 
+def plain_difference(sizes, windows):
+    """The same by whole partitions: sums of all parts, members as lists."""
+    heap = [(-int(s) if windows > 1 else 0, i, [int(s)] + [0] * (windows - 1), [[i]] + [[] for _ in range(windows - 1)]) for i, s in enumerate(sizes)]
+    while len(heap) > 1:
+        (_, mark, a, x), (_, _, b, y) = sorted(heap, key=lambda h: h[:2])[:2]
+        heap = sorted(heap, key=lambda h: h[:2])[2:]
+        both = sorted(zip((p + q for p, q in zip(a, b[::-1])), (p + q for p, q in zip(x, y[::-1]))), key=lambda e: -e[0])
+        sums, parts = [s for s, _ in both], [p for _, p in both]
+        heap.append((sums[-1] - sums[0], mark, sums, parts))
+    return heap[0][3]
+
+
+def test_differencing_equals_the_plain_one():
+    draw = np.random.default_rng(3)
+    for windows in (1, 2, 7, 25, 60):
+        for top in (3, 1025):
+            sizes = draw.integers(1, top, 50)
+            parts = packing.difference(sizes, windows)
+            assert [sorted(p) for p in parts] == [sorted(p) for p in plain_difference(sizes, windows)]
+    merges, concatenate = [], np.concatenate
+    try:
+        np.concatenate = lambda arrays, *a, **k: (merges.append(sum(map(len, arrays))), concatenate(arrays, *a, **k))[1]
+        packing.difference(np.arange(1, 101), 1000)
+    finally:
+        np.concatenate = concatenate
+    assert len(merges) == 2 * 99 and max(merges) == 100  # only filled parts are handled
+
+
 def test_windows_rise_when_capacity_is_exceeded():
     parts = packing.balance(np.array([6, 6, 6, 6]), 10)  # the sum asks for 3 windows; no 2 fit in one
     assert len(parts) == 4
