@@ -3,6 +3,12 @@
 Two texts are near copies if their sets of five-word shingles have a Jaccard similarity of 0.8 or
 more; groups are the connected components. Texts of one shingle set are one node.
 
+SimHash. A set's fingerprint is the majority of its shingles' hashes, in ``PRINTS`` parts of 64 bits
+with hashes of their own. Nodes within 2 bits in some part meet in that part's covering tables
+(``simhash.links``) whenever at most 3 * PRINTS - 1 of all bits differ; they are confirmed on the
+whole sets like all pairs. No radius bounds a similarity of 0.8, so this alone would lose links:
+the nodes that it leaves in different components go through an exact filter.
+
 Keys. In the order of their hashes, each of the first K shingles of two near copies' union is
 shared with a probability of 0.8 or more, and a shared one is among the first K of either. If c of
 a node's first K shingles are common ones, its rare ones are keys enough, unless c or fewer of the
@@ -38,6 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from tarmac.llm import simhash
 from tarmac.llm.common import Scratch, annotate, fresh
 from tarmac.llm.components import components
 
@@ -48,6 +55,7 @@ STAGES = (24, 64, 256)  # how many first shingles a node looks at, before it loo
 SIGNED = 64  # first shingles that are kept with a node
 CHANCE = 1e-14  # of missing a pair of near copies
 COMMON = 16  # a shingle that is a key of more nodes than this is common
+PRINTS = 4  # 64-bit parts of a fingerprint
 CELLS = 512  # hash cells whose parities bound the difference of two sets
 FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -102,8 +110,18 @@ def parity(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def prints(hashes: np.ndarray) -> np.ndarray:
+    """The parts of a set's SimHash fingerprint, as signed 64-bit numbers."""
+    parts = []
+    for p in range(PRINTS):
+        mixed = hashes if p == 0 else (hashes ^ (hashes >> np.uint64(29))) * FACTORS[p]
+        mixed = mixed if p == 0 else (mixed ^ (mixed >> np.uint64(32))) * FACTORS[0]
+        parts.append(simhash.majority([mixed ^ (mixed >> np.uint64(31))] if p else [mixed], len(hashes)))
+    return np.array(parts, np.uint64).view(np.int64)
+
+
 def _signed(rows: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep``, the digest of the shingle set, its size ``n``, its parities and the first of its shingles."""
+    """``keep``, the digest of the shingle set, its size ``n``, its parities, its fingerprint and the first of its shingles."""
 
     def make() -> Callable[[list], list]:
         import xxhash
@@ -112,12 +130,12 @@ def _signed(rows: DataFrame, keep: list[str]) -> DataFrame:
             sets = [shingles(t) for t in texts]
             return [
                 [xxhash.xxh3_128_hexdigest(s.tobytes()) for s in sets], [len(s) for s in sets],
-                [parity(s) for s in sets], [s[:SIGNED].view(np.int64) for s in sets],
+                [parity(s) for s in sets], [prints(s) for s in sets], [s[:SIGNED].view(np.int64) for s in sets],
             ]
 
         return sign
 
-    return annotate(rows, "text", keep, "digest string, n bigint, parity array<bigint>, keys array<bigint>", make)
+    return annotate(rows, "text", keep, "digest string, n bigint, parity array<bigint>, fps array<bigint>, keys array<bigint>", make)
 
 
 def _all_shingles(texts: DataFrame) -> DataFrame:
@@ -247,17 +265,34 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return met.select(F.col("node").alias("a"), F.col("o.node").alias("b"))
 
 
+def by_simhash(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) that join all nodes within 2 bits in a part of their fingerprints ``fps``; links by least nodes.
+
+    Nodes of one part are one fingerprint there, and each is paired with the least of them.
+    """
+    own = Scratch(scratch.spark)
+    parts = own.keep(nodes.filter(F.col("n") >= 4).select("node", F.posexplode("fps").alias("part", "fp")))
+    least = own.keep(parts.groupBy("part", "fp").agg(F.min("node").alias("first"), F.max("node").alias("last")))
+    same = parts.join(least.filter("first < last"), ["part", "fp"]).select(F.col("node").alias("a"), F.col("first").alias("b"))
+    found = simhash.links(least.select("part", "fp"), ["part"])
+    of = lambda side: least.select("part", F.col("fp").alias(side), F.col("first").alias(f"node_{side}"))
+    far = found.join(of("a"), ["part", "a"]).join(of("b"), ["part", "b"]).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    pairs = scratch.keep(same.filter("a <> b").union(far).distinct())
+    own.drop()
+    return pairs
+
+
 def roots_of(nodes: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root) of every node that is not the least of its component.
 
-    ``nodes`` has (node, n, parity, keys), ``texts`` (node, text).
+    ``nodes`` has (node, n, parity, fps, keys), ``texts`` (node, text).
     """
-    rare, common = members(nodes.select("node", "n", "keys"), texts, scratch)
     facts = nodes.select("node", "n", "parity")
     confirmed = lambda pairs: _confirmed(pairs, facts, texts, scratch)
-    alone = F.col("node").alias("root")
-    first = _picks(rare.select("*", alone)).union(_picks(common.select("*", alone)))
-    roots = scratch.keep(components(confirmed(first)))
+    roots = scratch.keep(components(confirmed(by_simhash(nodes, scratch))))
+    rare, common = members(nodes.select("node", "n", "keys"), texts, scratch)
+    first = _picks(_open(rare, roots, scratch)).union(_picks(_open(common, roots, scratch)))
+    roots = _merged(roots, confirmed(first), scratch)
     roots = _merged(roots, confirmed(_pairs(_open(rare, roots, scratch))), scratch)
     turn = 1
     while not (left := _open(common, roots, scratch)).isEmpty():
@@ -285,7 +320,7 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     signed = scratch.keep(_signed(slim, ["doc_id", "node"]))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "node")).alias("first")
     firsts = scratch.keep(signed.groupBy("digest").agg(first).select(F.col("first.node").alias("node"), "first"))
-    nodes = scratch.keep(signed.select("node", "n", "parity", "keys").join(firsts.select("node"), "node", "left_semi"))
+    nodes = scratch.keep(signed.select("node", "n", "parity", "fps", "keys").join(firsts.select("node"), "node", "left_semi"))
     roots = roots_of(nodes, slim.select("node", "text"), scratch)
     placed = firsts.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     kept = lasting.keep(placed.select(F.col("first.node").alias("__kept")))

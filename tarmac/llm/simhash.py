@@ -19,7 +19,7 @@ a group of such rows alone has a null component_id; an empty table gives no rows
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -47,11 +47,21 @@ def fingerprint(text: str | None) -> int:
         width = 1
     else:
         width = 3
-    counts, n = np.zeros(BITS, np.int64), len(words) - width + 1
-    for at in range(0, n, SHINGLES_AT_ONCE):
-        stop = min(n, at + SHINGLES_AT_ONCE)
-        hashes = np.array([digest(b" ".join(s), SEED) for s in zip(*(words[at + i : stop + i] for i in range(width)))], dtype="<u8")
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    n = len(words) - width + 1
+
+    def hashes() -> Iterator[np.ndarray]:
+        for at in range(0, n, SHINGLES_AT_ONCE):
+            stop = min(n, at + SHINGLES_AT_ONCE)
+            yield np.array([digest(b" ".join(s), SEED) for s in zip(*(words[at + i : stop + i] for i in range(width)))], dtype="<u8")
+
+    return majority(hashes(), n)
+
+
+def majority(hashes: Iterable[np.ndarray], n: int) -> int:
+    """The bits that are set in over half of ``n`` 64-bit hashes, which come in arrays."""
+    counts = np.zeros(BITS, np.int64)
+    for some in hashes:
+        counts += np.unpackbits(some.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
@@ -75,17 +85,20 @@ def masks(bits: int = BITS, radius: int = RADIUS) -> list[int]:
     return [_signed(sum(1 << i for i, m in enumerate(labels) if (m & v).bit_count() % 2)) for v in range(1, top)]
 
 
-def links(prints: DataFrame) -> DataFrame:
-    """Edges (a, b), a > b, that join all distinct fingerprints ``fp`` within 2 bits of each other."""
+def links(prints: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Edges (a, b), a > b, that join all distinct fingerprints ``fp`` within 2 bits of each other.
+
+    With ``by`` only fingerprints that agree in these columns are compared, and edges carry them.
+    """
     tables = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks())])
-    cells = prints.select("fp", F.explode(tables).alias("c")).groupBy("c.t", "c.key")
-    shared = cells.agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo < hi").select("t", "key")
-    keyed = prints.select("fp", F.explode(tables).alias("c")).select("fp", "c.t", "c.key")
-    candidates = keyed.join(shared, ["t", "key"], "left_semi").select("fp").distinct()
+    cells = prints.select(*by, "fp", F.explode(tables).alias("c")).groupBy(*by, "c.t", "c.key")
+    shared = cells.agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo < hi").select(*by, "t", "key")
+    keyed = prints.select(*by, "fp", F.explode(tables).alias("c")).select(*by, "fp", "c.t", "c.key")
+    candidates = keyed.join(shared, [*by, "t", "key"], "left_semi").select(*by, "fp").distinct()
     near = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(_signed(1 << i))) for i in range(BITS)])
-    met = candidates.select("fp", F.explode(near).alias("at")).groupBy("at").agg(F.collect_set("fp").alias("all"))
-    stars = met.filter(F.size("all") > 1).select(F.array_min("all").alias("b"), F.explode("all").alias("a"))
-    return stars.filter("a <> b").select("a", "b").distinct()
+    met = candidates.select(*by, "fp", F.explode(near).alias("at")).groupBy(*by, "at").agg(F.collect_set("fp").alias("all"))
+    stars = met.filter(F.size("all") > 1).select(*by, F.array_min("all").alias("b"), F.explode("all").alias("a"))
+    return stars.filter("a <> b").select(*by, "a", "b").distinct()
 
 
 def groups(prints: DataFrame, ids: str = "doc_id", name: str = "fp") -> DataFrame:

@@ -100,3 +100,34 @@ def test_long_texts(frame):
     near = long[:30_000] + ["new"] * 40 + long[30_000:]
     rows = [(5, " ".join(long)), (3, " ".join(near)), (4, " ".join(long[:45_000])), (9, "x " * 50_000)]
     assert sorted(r.doc_id for r in nearcopies.one_per_group(frame(rows)).collect()) == [3, 4, 9]
+
+
+def test_simhash_finds_what_its_radius_covers_and_the_filter_adds_the_rest(frame, spark, monkeypatch):
+    rows = planted()
+    seen, step = [], nearcopies.by_simhash
+    monkeypatch.setattr(nearcopies, "by_simhash", lambda *a: seen.append(({r.node: r.fps for r in a[0].collect() if r.n >= 4}, out := step(*a))) or out)
+    monkeypatch.setattr(nearcopies.Scratch, "drop", lambda self: None)
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, frame(rows), "").collect()}
+    (fps, pairs), = seen
+    edges = {(r.a, r.b) for r in pairs.collect()}
+    root = {n: n for n in fps}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in edges:
+        root[find(a)] = find(b)
+    apart = lambda a, b: [((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(fps[a], fps[b], strict=True)]
+    near = [(a, b) for a, b in itertools.combinations(fps, 2) if sum(apart(a, b)) <= 3 * nearcopies.PRINTS - 1]
+    assert near and all(find(a) == find(b) for a, b in near)
+    assert kept == least_of_each_group(rows) and len({find(n) for n in fps}) > len(kept)  # SimHash alone leaves copies
+
+
+def test_prints_are_majorities_and_unlike_in_every_part():
+    draw = random.Random(4)
+    one = nearcopies.shingles(" ".join(f"w{draw.randrange(500)}" for _ in range(300)))
+    parts = [int(x) & (1 << 64) - 1 for x in nearcopies.prints(one)]
+    assert parts[0] == sum(1 << b for b in range(64) if 2 * sum(int(h) >> b & 1 for h in one) > len(one))
+    assert all(15 < (x ^ y).bit_count() < 50 for x, y in itertools.combinations(parts, 2))
