@@ -3,6 +3,7 @@ import random
 
 import corpus_pipeline
 from tarmac.llm import nearcopies, simhash
+from tarmac.llm.common import ARROW_ROWS, BATCH_ROWS, Scratch
 
 
 def shingles(text):
@@ -131,3 +132,21 @@ def test_prints_are_majorities_and_unlike_in_every_part():
     parts = [int(x) & (1 << 64) - 1 for x in nearcopies.prints(one)]
     assert parts[0] == sum(1 << b for b in range(64) if 2 * sum(int(h) >> b & 1 for h in one) > len(one))
     assert all(15 < (x ^ y).bit_count() < 50 for x, y in itertools.combinations(parts, 2))
+
+
+def test_workers_get_few_texts_at_once(spark):
+    def rows_of(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    scratch = Scratch(spark)
+    for own in (None, "0", "100", "5000"):
+        if own is not None:
+            spark.conf.set(ARROW_ROWS, own)
+        sent = [r.n for r in scratch.keep(spark.range(0, 1000, 1, 1).mapInArrow(rows_of, "n long")).collect()]
+        assert sum(sent) == 1000 and max(sent) == (100 if own == "100" else BATCH_ROWS)
+        assert spark.conf.get(ARROW_ROWS, None) == own
+        spark.conf.unset(ARROW_ROWS)
+    scratch.drop()
