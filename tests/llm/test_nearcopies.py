@@ -1,8 +1,11 @@
 import itertools
 import random
+import time
 
 import corpus_pipeline
-from tarmac.llm import nearcopies, simhash
+import pytest
+from pyspark.sql import functions as F
+from tarmac.llm import components, nearcopies, simhash
 from tarmac.llm.common import ARROW_ROWS, BATCH_ROWS, Scratch
 
 
@@ -150,3 +153,38 @@ def test_workers_get_few_texts_at_once(spark):
         assert spark.conf.get(ARROW_ROWS, None) == own
         spark.conf.unset(ARROW_ROWS)
     scratch.drop()
+
+
+def test_kept_tables_leave_no_broadcasts_with_the_driver(spark):
+    held = lambda: spark.sparkContext._jsc.sc().env().memoryManager().storageMemoryUsed()
+    scratch = Scratch(spark)
+    ids = scratch.keep(spark.range(100_000).select("id", F.xxhash64("id").alias("of")))
+    before = held()
+    for i in range(20):  # a broadcast side takes 1.5 MB, all of them 30
+        scratch.keep(spark.range(1000).join(F.broadcast(ids.filter(F.col("id") > i)), "id"))
+    for _ in range(50):  # Spark's cleaner goes its own pace
+        if held() - before < 20_000_000:
+            break
+        time.sleep(0.1)
+    assert held() - before < 20_000_000
+    scratch.drop()
+
+
+@pytest.mark.parametrize(
+    ("edges", "roots", "most"),
+    [
+        ([], {}, 0),
+        ([(5, 1), (4, 1), (9, 2), (3, 3)], {5: 1, 4: 1, 9: 2}, 0),
+        ([(1, 5), (1, 4)], {5: 1, 4: 1}, 0),
+        ([(5, 1), (1, 5)], {5: 1}, 1),
+        ([(5, 1), (5, 4)], {5: 1, 4: 1}, 1),
+        ([(5, 4), (4, 1)], {5: 1, 4: 1}, 1),
+        ([(i, i + 1) for i in range(20)], {i: 0 for i in range(1, 21)}, 6),
+    ],
+)
+def test_components_make_no_round_for_stars(spark, monkeypatch, edges, roots, most):
+    rounds, step = [], components._large_star
+    monkeypatch.setattr(components, "_large_star", lambda e: rounds.append(1) or step(e))
+    found = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r.node: r.root for r in found} == roots and len(found) == len(roots)
+    assert len(rounds) <= most
