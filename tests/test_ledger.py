@@ -93,6 +93,32 @@ def test_an_old_message_does_not_undo_a_newer_one(spark, feed):
     assert (last.released, last.superseded, last.inserted) == (1, 1, 1) and state(spark, ledger)["A"].booking_status == "FLOWN"
 
 
+def scratch_tables(spark):
+    from pathlib import Path
+
+    return {p.name for p in Path(spark.conf.get("spark.checkpoint.dir")).iterdir() if p.name.startswith("rows-")}
+
+
+def test_a_batch_in_slices_is_the_same_and_leaves_only_its_logs(spark, monkeypatch):
+    t, cabins = airline(spark, FLIGHTS), reference.cabins(spark)
+    lines = [message(f"B{n % 7}", person=("P1", "P2", "P9")[n % 3], total_amount=n, **ON) for n in range(20)]
+    lines += [lines[0], "not json", message(None, **ON), message("C", flight_number="SP0009", flight_date="2026-06-11")]
+    raw = spark.createDataFrame([(x,) for x in lines], "raw_text string").select(
+        F.lit("2026-06-01").cast("timestamp_ntz").alias("ingest_timestamp"), F.lit("PSS").alias("source_system"),
+        F.lit("f").alias("file_name"), "raw_text", F.try_parse_json("raw_text").alias("raw_data"))
+    told = []
+    for size in (1_000_000, 6):  # a slice, then four
+        monkeypatch.setattr("tarmac.streaming.ledger.SLICE_MESSAGES", size)
+        ledger = Ledger(scratch_path(spark, "bookings"), BOOKING_GOLD)
+        ledger.start(spark)
+        before = scratch_tables(spark)
+        merge_booking_messages(spark, raw, t, cabins, ledger, 0, t.flight, ["ingest_timestamp", "total_amount"])
+        assert scratch_tables(spark) == before
+        told.append([sorted(map(str, ledger.read(spark, name).collect())) for name in ("log", "quarantine", "released", "accounts")])
+    assert told[0] == told[1] and len(told[0][1]) == 9
+    assert all("raw_text='" in x and "message_id='" in x for x in told[0][1])
+
+
 def test_feedback_gets_keys_and_refused_lines_are_kept(spark, tmp_path):
     t = airline(spark, FLIGHTS)
     ledger = Ledger(scratch_path(spark, "feedback"), FEEDBACK_GOLD)
