@@ -19,7 +19,7 @@ from tarmac.functions.conditions import action_required, feedback_priority, sent
 from tarmac.functions.dates import date_key
 from tarmac.functions.text import sentiment, summarise
 from tarmac.operators.joins import current_rows, unique_lookup
-from tarmac.operators.ranges import shuffles_released, stored
+from tarmac.operators.ranges import Kept, shuffles_released, stored
 from tarmac.operators.upsert import latest_per_key, merge_changes, merge_update_only, with_keys
 from tarmac.schemas import struct
 from tarmac.sources.raw import json_landing, payload
@@ -203,17 +203,15 @@ def merge_bookings(
     keys; without one it reads the whole log for them.
     """
     rows = with_keys(source, BOOKING_KEY).withColumn("created_at", F.col("ingest_timestamp"))
-    # reduced before it is used twice: the state needs the batch's keys, the merge its rows
-    rows = latest_per_key(rows, BOOKING_KEY, order).persist()
-    try:
+    with Kept() as keep:
+        # reduced before it is used twice: the state needs the batch's keys, the merge its rows
+        rows = keep(latest_per_key(rows, BOOKING_KEY, order))
         asked = rows.select(*BOOKING_KEY)
         state = keyed.lookup(asked, batch_id) if keyed else state_of(spark, log, BOOKING_FACT, BOOKING_KEY, asked, batch_id)
         changes = merge_changes(
             state, rows, BOOKING_KEY, "booking_status", "updated_at", F.col("s.ingest_timestamp"), order, BOOKING_DEFAULTS
         )
         write_changes(changes, log, batch_id, keyed, BOOKING_FACT)
-    finally:
-        rows.unpersist()
 
 
 def bookings_batch(spark: SparkSession, t: Tables, cabins: DataFrame, log: str) -> BatchFn:

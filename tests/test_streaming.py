@@ -139,6 +139,47 @@ def test_alert_once_per_delay(spark):
     assert feeds.read_log(spark, literal, feeds.ALERT_LOG).count() == 2
 
 
+def test_landed_lines_are_packed_and_read_as_they_were(spark, tmp_path, monkeypatch):
+    from tarmac.registry import streams
+
+    monkeypatch.setattr(streams, "FILE_LINES", 300)
+    rows = spark.range(1000, numPartitions=1).select("id", F.lit("the same in every line, over and over again").alias("told"))
+    streams.land(rows, str(tmp_path / "raw"))
+    files = [*(tmp_path / "raw").glob("part-*")]
+    assert len(files) == 4 and sum(f.stat().st_size for f in files) < 20_000  # 60,000 as plain text
+    landed = json_landing(spark, str(tmp_path / "raw"), "PSS")
+    assert sorted(json.loads(r.raw_text)["id"] for r in landed.collect()) == [*range(1000)]
+
+
+def test_a_written_batch_leaves_no_shuffle_files(spark):
+    import time
+
+    def files():
+        return {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+            spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+
+    before, log = files(), scratch_path(spark, "log")
+    rows = spark.range(1000).groupBy((F.col("id") % 100).alias("k")).agg(F.max("id").alias("v")).orderBy("v")
+    feeds.write_batch(rows, log, 0)
+    until = time.time() + 20  # they are deleted a moment later
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and spark.read.parquet(log).count() == 100
+
+
+def test_merged_bookings_leave_only_the_log(spark):
+    from pathlib import Path
+
+    log = scratch_path(spark, "log")
+    feeds.start_log(spark, log, feeds.BOOKING_FACT)
+    rows = spark.createDataFrame([(f"B{n % 3}", n % 2, n, "HELD") for n in range(12)], "booking_reference string, passenger_key long, seq long, booking_status string")
+    there = {p.name for p in Path(spark.conf.get("spark.checkpoint.dir")).iterdir()}
+    feeds.merge_bookings(spark, rows.withColumn("ingest_timestamp", F.lit("2026-06-01").cast("timestamp_ntz")), log, 0, ["seq"])
+    assert {p.name for p in Path(spark.conf.get("spark.checkpoint.dir")).iterdir()} == there
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+    assert feeds.read_log(spark, log, feeds.BOOKING_FACT).count() == 6
+
+
 def test_empty_batches_are_skipped(spark):
     calls = []
     run = feeds.skip_when_empty(lambda rows, n: calls.append(n))
