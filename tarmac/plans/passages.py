@@ -8,6 +8,8 @@ texts, as many numbers as the question has words; scoring stays inside the row.
 A summary is the sentence nearest to what the text is about: the mean weight of its different
 words, a word weighing its count in the text times its inverse document frequency. Documents are
 counted by a shuffle of (text, different word), with map-side sums for words that all texts have.
+The weights of a text's words are an array sorted by word, in which each sentence's words are found by
+halving: a map would be gone through from its start for every word.
 """
 
 from __future__ import annotations
@@ -83,20 +85,26 @@ def answers(rows: DataFrame, key: str, text: str, question: str, name: str = "an
 def salient_sentences(rows: DataFrame, key: str, text: str, name: str = "summary") -> DataFrame:
     """``key`` and the most salient sentence of every text; ``key`` must tell texts apart. Null for a null text."""
     texts = rows.select(key, text)
-    said = texts.select(key, F.explode(_said(F.col(text))).alias("w")).groupBy(key, "w").agg(F.count("*").alias("tf"))
-    said = stored(said)
+    said = texts.select(key, F.explode(words(F.col(text))).alias("w")).filter(F.col("w") != "")
+    said = stored(said.groupBy(key, "w").agg(F.count("*").alias("tf")))
     total = texts.filter(F.col(text).isNotNull()).count()
     df = said.groupBy("w").agg(F.count("*").alias("df"))
     idf = F.log(F.lit(float(total + 1)) / (F.col("df") + 1)) + 1
     weighed = said.join(df.select("w", idf.alias("idf")), "w").groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("w", F.col("tf") * F.col("idf")))).alias("__weights")  # the words of one text
+        F.sort_array(F.collect_list(F.struct("w", (F.col("tf") * F.col("idf")).alias("weight")))).alias("__s")  # the words of one text
     )
+    halves = F.expr("transform(sequence(length(bin(size(__s))) - 1, 0, -1), i -> shiftleft(1, i))")
+    weighed = weighed.select(key, F.col("__s.w").alias("__words"), F.col("__s.weight").alias("__weights"), halves.alias("__halves"))
     joined = texts.join(weighed, key, "left")
 
+    def weight(w: Column) -> Column:
+        upto = F.aggregate("__halves", F.lit(0), lambda n, half: F.when(F.get("__words", n + half - 1) <= w, n + half).otherwise(n))
+        return F.get("__weights", upto - 1)
+
     def score(sentence: Column) -> Column:
-        unlike = F.array_sort(F.array_distinct(_said(sentence)))
-        total = F.aggregate(unlike, F.lit(0.0), lambda a, w: a + F.element_at("__weights", w))
-        return F.round(F.coalesce(total, F.lit(0.0)) / F.greatest(F.size(unlike), F.lit(1)), ROUNDED)
+        unlike = F.sort_array(F.array_distinct(F.array_remove(words(sentence), "")))
+        bound = F.transform(F.array(unlike), lambda u: F.struct(F.aggregate(u, F.lit(0.0), lambda a, w: a + weight(w)).alias("sum"), F.size(u).alias("n")))[0]
+        return F.transform(F.array(bound), lambda b: F.round(F.coalesce(b["sum"], F.lit(0.0)) / F.greatest(b["n"], F.lit(1)), ROUNDED))[0]
 
     scored = F.transform(sentences(F.col(text)), lambda s, i: F.struct(score(s).alias("score"), (-i).alias("order"), F.trim(s).alias("sentence")))
     return joined.select(key, F.array_max(scored)["sentence"].alias(name))

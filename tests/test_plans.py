@@ -239,3 +239,24 @@ def test_semantic_roles_and_filters(spark):
     assert [(r[0], r.late) for r in latest] == [(2, 20.0)]
     with pytest.raises(KeyError, match="one fact table"):
         semantic.semantic_query(t, [*mean, semantic.Metric("sum", "ticket price", "p")], ["day"])
+
+
+def test_salience_of_a_long_text_takes_time_by_its_words(spark):
+    import time
+
+    from tarmac.plans.passages import salient_sentences
+
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    unlike = [letters[n % 26] + letters[n // 26 % 26] + letters[n // 676 % 26] + letters[n // 17576] for n in range(24_000)]
+    parts = [" ".join(unlike[n : n + 10]) + "." for n in range(0, len(unlike), 10)]
+
+    def seconds(texts):
+        rows = spark.createDataFrame([*enumerate(texts)], "k long, text string").coalesce(1)
+        began = time.time()
+        told = salient_sentences(rows, "k", "text").collect()
+        assert {r.k: r.summary for r in told} == {k: text.split(". ")[0].rstrip(".") + "." for k, text in enumerate(texts)}  # all alike: the first
+        return time.time() - began
+
+    dealt = [" ".join(parts[n : n + 20]) for n in range(0, len(parts), 20)]
+    seconds(dealt[:2])  # compiles
+    assert seconds([" ".join(parts)]) < 3 * seconds(dealt) + 2
